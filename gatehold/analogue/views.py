@@ -15,9 +15,18 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of an input with fewer splits than cores over the cores; larger inputs are left as they are.
+
+    Looking at the number of splits plans the scan but reads nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def flights_raw(spark: SparkSession, folder: str) -> DataFrame:
     """No join hints: Spark broadcasts the sides it knows to be small and splits skewed keys of the others."""
-    lineitem = _read(spark, folder, "lineitem")
+    lineitem = _spread(_read(spark, folder, "lineitem"), "l_orderkey")
     orders = _read(spark, folder, "orders")
     customer = _read(spark, folder, "customer")
     supplier = _read(spark, folder, "supplier")
@@ -26,8 +35,10 @@ def flights_raw(spark: SparkSession, folder: str) -> DataFrame:
     targets = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("Dest"))
     shipped = (
         lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer.join(targets, "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(supplier.join(sources, "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(targets, "c_nationkey")
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(sources, "s_nationkey")
     )
     day = F.col("l_shipdate")
     minute = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 1440

@@ -8,7 +8,7 @@ does not parse yields null; `strict=True` raises instead.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,9 +31,12 @@ def as_double(c: Column) -> Column:
 
 def date_string(year: Column, month: Column, day: Column, strict: bool = False) -> Column:
     """Zero-padded YYYYMMDD text. No calendar check; null if any part is null."""
-    parts = [p.try_cast("int") for p in (year, month, day)]
-    missing = reduce(or_, [p.isNull() for p in parts])
-    text = F.when(~missing, F.format_string("%04d%02d%02d", *parts))
+    y, m, d = parts = [p.try_cast("int") for p in (year, month, day)]
+    known = reduce(and_, [p.isNotNull() for p in parts])
+    # Formatting is slow; within the usual ranges one padded number gives the same text.
+    usual = y.between(0, 9999) & m.between(0, 99) & d.between(0, 99)
+    packed = F.lpad((y * 10000 + m * 100 + d).cast("string"), 8, "0")
+    text = F.when(usual, packed).when(known, F.format_string("%04d%02d%02d", *parts))
     if strict:
         return _or_raise(text, "date_string: year, month and day must be whole numbers")
     return text
@@ -54,7 +57,7 @@ def hour_base10(hhmm: Column, strict: bool = False) -> Column:
 
 def delay_label(delay: Column) -> Column:
     """1 when late, 0 when on time or unknown."""
-    return F.when(F.coalesce(as_int(delay), F.lit(0)) > LATE_AFTER, 1).otherwise(0)
+    return F.when(as_int(delay) > LATE_AFTER, 1).otherwise(0)
 
 
 def or_default(c: Column, default) -> Column:

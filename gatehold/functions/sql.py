@@ -7,7 +7,11 @@ from pyspark.sql import SparkSession
 # SQL bodies: Spark inlines them, so a call costs no Python.
 _FUNCTIONS = {
     "toDateString(year STRING, month STRING, day STRING) RETURNS STRING": """
-        CASE WHEN try_cast(year AS INT) IS NOT NULL AND try_cast(month AS INT) IS NOT NULL
+        CASE WHEN try_cast(year AS INT) BETWEEN 0 AND 9999 AND try_cast(month AS INT) BETWEEN 0 AND 99
+                  AND try_cast(day AS INT) BETWEEN 0 AND 99
+             THEN lpad(CAST(try_cast(year AS INT) * 10000 + try_cast(month AS INT) * 100
+                            + try_cast(day AS INT) AS STRING), 8, '0')
+             WHEN try_cast(year AS INT) IS NOT NULL AND try_cast(month AS INT) IS NOT NULL
                   AND try_cast(day AS INT) IS NOT NULL
              THEN format_string('%04d%02d%02d', try_cast(year AS INT), try_cast(month AS INT), try_cast(day AS INT))
         END""",

@@ -3,22 +3,21 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import add, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.01  # a key above this share of the rows is split
 SALTS = 64
-_SAMPLE_ROWS = 50_000
-_SEED = 13
+_SKETCH_ITEMS = 10_000
 
 
 def size_in_bytes(df: DataFrame) -> int:
     """Size of the values of `df`, by one aggregate: 8 bytes per value plus the bytes of its texts."""
     texts = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c, t in df.dtypes if t == "string"]
-    text_bytes = F.sum(reduce(lambda a, b: a + b, texts)) if texts else F.lit(0)
+    text_bytes = F.sum(reduce(add, texts)) if texts else F.lit(0)
     row = df.agg(F.count(F.lit(1)).alias("n"), text_bytes.alias("text_bytes")).first()
     return row["n"] * 8 * len(df.columns) + (row["text_bytes"] or 0)
 
@@ -28,20 +27,20 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[tuple]:
-    """Keys that hold about `share` of the rows or more, judged from a bounded sample.
+def _key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*keys)
 
-    At most about 2/share keys can qualify, so the list is small by construction.
-    It only steers balance: the salted join is exact for any list.
+
+def hot_key_hashes(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that hold at least about `share` of the rows.
+
+    One pass with a heavy-hitter sketch per task; at most 1/share keys can
+    qualify, so the list is small by construction. It only steers balance: the
+    salted join is exact for any list.
     """
-    total = df.count()
-    if total == 0:
-        return []
-    fraction = min(1.0, _SAMPLE_ROWS / total)
-    least = max(2, int(min(total, _SAMPLE_ROWS) * share / 2))
-    sample = df.select(*keys).dropna().sample(withReplacement=False, fraction=fraction, seed=_SEED)
-    hot = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= least)
-    return [tuple(r[k] for k in keys) for r in hot.collect()]
+    top = F.call_function("approx_top_k", _key_hash(keys), F.lit(int(1 / share)), F.lit(_SKETCH_ITEMS))
+    found = df.dropna(subset=keys).agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    return [entry["item"] for entry in found["top"] or [] if entry["count"] >= share * found["n"]]
 
 
 def lookup_join(
@@ -52,30 +51,31 @@ def lookup_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
     salts: int = SALTS,
+    lookup_bytes: int | None = None,
 ) -> DataFrame:
     """`fact` joined to `lookup` on equal `keys`, inner or left; all fact columns plus the lookup's others.
 
-    The lookup side is measured. Up to `broadcast_bytes` it is broadcast and the
-    fact side is not shuffled. Beyond that both sides are shuffled on the keys
-    and a salt: hot keys of the fact side are dealt over `salts` tasks, and only
-    the lookup rows of those keys are repeated once per salt.
+    The lookup side is measured, unless its size is given. Up to
+    `broadcast_bytes` it is broadcast and the fact side is not shuffled. Beyond
+    that both sides are shuffled on the keys and a salt: hot keys of the fact
+    side are dealt over `salts` tasks, and only the lookup rows of those keys are
+    repeated once per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup_join supports inner and left joins")
-    if size_in_bytes(lookup) <= broadcast_bytes:
+    lookup_bytes = size_in_bytes(lookup) if lookup_bytes is None else lookup_bytes
+    if lookup_bytes <= broadcast_bytes:
         return fact.join(F.broadcast(lookup), keys, how).select(*fact.columns, *_others(lookup, keys))
-    return salted_join(fact, lookup, keys, how, hot_keys(fact, keys, hot_share), salts)
+    return salted_join(fact, lookup, keys, how, hot_key_hashes(fact, keys, hot_share), salts)
 
 
 def salted_join(
-    fact: DataFrame, lookup: DataFrame, keys: list[str], how: str, hot: list[tuple], salts: int = SALTS
+    fact: DataFrame, lookup: DataFrame, keys: list[str], how: str, hot: list[int], salts: int = SALTS
 ) -> DataFrame:
-    """Shuffle join with the rows of the `hot` keys, and null keys, spread over `salts` tasks."""
-    is_hot = reduce(
-        or_,
-        [reduce(and_, [F.col(k) == F.lit(v) for k, v in zip(keys, values)]) for values in hot],
-        F.lit(False),
-    )
+    """Shuffle join with the rows of the keys whose hash is in `hot`, and null keys, spread over `salts` tasks."""
+    if [fact.schema[k].dataType for k in keys] != [lookup.schema[k].dataType for k in keys]:
+        raise ValueError("both sides must have the same key types, since their hashes are compared")
+    is_hot = _key_hash(keys).isin(*hot) if hot else F.lit(False)
     no_match = reduce(or_, [F.col(k).isNull() for k in keys])
     # The partition id spreads exact copies of a row, which hash alike. Both parts
     # are the same when a lost task is run again.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatehold.functions import columns as C
@@ -19,19 +19,26 @@ def silver(raw: DataFrame, strict: bool = False) -> DataFrame:
     An unknown delay counts as 0 and so as on time. With `strict`, a scheduled
     time or date that cannot be read fails the job; otherwise it becomes null.
     """
+    typed = {name for name, kind in raw.dtypes if kind == "int"}
+
+    def whole(name: str) -> Column:
+        # Already whole numbers are passed through, so that filters on them reach the scan.
+        return F.col(name) if name in typed else C.as_int(F.col(name))
+
+    delay = whole("DepDelay")
     return raw.select(
-        C.as_int(F.col("Year")).alias("Year"),
-        C.as_int(F.col("Month")).alias("Month"),
-        C.as_int(F.col("DayofMonth")).alias("Day"),
-        C.as_int(F.col("DayOfWeek")).alias("DayOfWeek"),
-        C.date_string(F.col("Year"), F.col("Month"), F.col("DayofMonth"), strict).alias("DateString"),
+        whole("Year").alias("Year"),
+        whole("Month").alias("Month"),
+        whole("DayofMonth").alias("Day"),
+        whole("DayOfWeek").alias("DayOfWeek"),
+        C.date_string(whole("Year"), whole("Month"), whole("DayofMonth"), strict).alias("DateString"),
         C.hour_base10(F.lpad(F.col("CRSDepTime").cast("string"), 4, "0"), strict).alias("decimal_DepTime"),
         F.col("UniqueCarrier"),
-        C.as_int(F.col("FlightNum")).alias("FlightNum"),
+        whole("FlightNum").alias("FlightNum"),
         C.or_default(F.col("TailNum"), "N/A").alias("TailNum"),
         F.col("Origin"),
         F.col("Dest"),
-        C.as_int(F.col("Distance")).alias("Distance"),
-        C.or_default(C.as_int(F.col("DepDelay")), 0).alias("delay"),
-        C.delay_label(F.col("DepDelay")).alias("label"),
+        whole("Distance").alias("Distance"),
+        C.or_default(delay, 0).alias("delay"),
+        C.delay_label(delay).alias("label"),
     )
