@@ -11,32 +11,41 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
+# Declared, so that opening a table needs no job that reads a footer.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows of an input with fewer splits than cores over the cores; larger inputs are left as they are.
 
-    Looking at the number of splits plans the scan but reads nothing.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def flights_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """No join hints: Spark broadcasts the sides it knows to be small and splits skewed keys of the others."""
-    lineitem = _spread(_read(spark, folder, "lineitem"), "l_orderkey")
+    """Customers are joined to the orders before the line items, so the largest table is shuffled for its order
+    and, unless suppliers fit a broadcast, for its supplier, and not for its customer too.
+
+    Line items and orders grow together, so that join is always a shuffle on the order, whose skewed keys
+    Spark splits; the other sides it broadcasts while it knows them to be small.
+    """
+    lineitem = _read(spark, folder, "lineitem")
     orders = _read(spark, folder, "orders")
     customer = _read(spark, folder, "customer")
     supplier = _read(spark, folder, "supplier")
     nation = _read(spark, folder, "nation")
     sources = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("Origin"))
     targets = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("Dest"))
+    ordered = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(targets, "c_nationkey")
     shipped = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(targets, "c_nationkey")
+        lineitem.join(ordered.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(sources, "s_nationkey")
     )

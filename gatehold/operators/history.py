@@ -15,10 +15,11 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 HISTORY = (
     "version long, timestamp timestamp, operation string, parameters string, "
-    "rows_before long, rows_after long, data string, deleted array<string>"
+    "rows_before long, rows_after long, data string, schema string, deleted array<string>"
 )
 
 
@@ -46,7 +47,8 @@ class VersionedTable:
         latest = self._latest()
         if latest is None:
             raise ValueError(f"{self.path} has no version yet")
-        rows = self.spark.read.parquet(latest["data"])
+        schema = StructType.fromJson(json.loads(latest["schema"]))
+        rows = self.spark.read.schema(schema).parquet(latest["data"])
         for predicate in latest["deleted"]:
             rows = rows.filter(~F.coalesce(F.expr(predicate), F.lit(False)))
         return rows
@@ -65,8 +67,8 @@ class VersionedTable:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(data)
-        rows = self.spark.read.parquet(data).count()  # from the parquet footers
-        self._append(before, operation, parameters or {}, rows, data, [])
+        rows = self.spark.read.schema(df.schema).parquet(data).count()  # from the parquet footers
+        self._append(before, operation, parameters or {}, rows, data, df.schema.json(), [])
         return self.read()
 
     def delete(self, predicate: str) -> DataFrame:
@@ -86,6 +88,7 @@ class VersionedTable:
             {"predicate": predicate},
             before["rows_after"] - removed,
             before["data"],
+            before["schema"],
             [*before["deleted"], predicate],
         )
         return self.history().filter(F.col("version") == before["version"] + 1)
@@ -94,7 +97,7 @@ class VersionedTable:
         """Rewrite the surviving rows, so that deleted rows are gone from the current files."""
         return self.overwrite(self.read(), partition_by, "COMPACT")
 
-    def _append(self, before, operation, parameters, rows_after, data, deleted) -> None:
+    def _append(self, before, operation, parameters, rows_after, data, schema, deleted) -> None:
         row = (
             0 if before is None else before["version"] + 1,
             datetime.datetime.now(datetime.timezone.utc),
@@ -103,6 +106,7 @@ class VersionedTable:
             None if before is None else before["rows_after"],
             rows_after,
             data,
+            schema,
             deleted,
         )
         self.spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("append").parquet(f"{self.path}/history")
