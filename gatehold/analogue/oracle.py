@@ -130,6 +130,7 @@ _BODIES["t7_history"] = """
   UNION ALL SELECT 1, 'DELETE', count(*), count(*) FILTER (WHERE "Year" <> 1998) FROM flights_raw"""
 _BODIES["t8_latest_version"] = "SELECT CAST(1 AS BIGINT) AS version"
 _BODIES["t9_zorder"] = "SELECT * FROM silver"
+_BODIES["t9_optimize_table"] = "SELECT * FROM gold"
 _BODIES["t10_database"] = 'SELECT "Origin", count(*) AS n FROM flights_raw GROUP BY 1'
 _BODIES["t11_copy_table"] = "SELECT * FROM gold"
 _BODIES["t12_column_statistics"] = " UNION ALL ".join(

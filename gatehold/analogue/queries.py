@@ -12,7 +12,7 @@ from gatehold import schemas
 from gatehold.analogue import views
 from gatehold.functions import columns as C
 from gatehold.functions.sql import register_functions
-from gatehold.operators import encode, layout, metrics, quality, tables
+from gatehold.operators import encode, metrics, quality, tables
 from gatehold.operators.history import VersionedTable
 from gatehold.plans import airports, features, flights, gold, model, reports, weather
 from gatehold.session import scratch_path, staged
@@ -224,9 +224,14 @@ def t8_latest_version(spark, folder):
 def t9_zorder(spark, folder):
     table = VersionedTable(spark, scratch_path(spark, "flights-silver"))
     table.overwrite(silver_flights(spark, folder).hint("rebalance", "Year"), ["Year"])
-    clustered = layout.zorder(table.read(), ["Month", "Day", "Dest"], files=8, partition_by=["Year"])
-    table.overwrite(clustered, ["Year"], "OPTIMIZE", {"zorder": ["Month", "Day", "Dest"]})
-    return table.read()
+    return table.optimize(["Month", "Day", "Dest"], files=8, partition_by=["Year"])
+
+
+@query
+def t9_optimize_table(spark, folder):
+    name = f"{_database(spark)}.flights_gold"
+    tables.replace_table(gold_flights(spark, folder), name, ["Year"], ["DateString"])
+    return _plain_dates(tables.optimize_table(spark, name, ["DateString", "Dest"], 8, scratch_path(spark, "optimized")))
 
 
 @query

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gatehold.operators.layout import zorder
+
 HISTORY = (
     "version long, timestamp timestamp, operation string, parameters string, "
     "rows_before long, rows_after long, data string, schema string, deleted array<string>"
@@ -74,6 +76,7 @@ class VersionedTable:
     def delete(self, predicate: str) -> DataFrame:
         """Remove the rows for which the SQL condition is true, and return the history row as a frame.
 
+        The condition must depend on the row alone, not on the time or on chance.
         The version records the condition and `read()` applies it, so a delete
         costs one count of the matching rows, not a rewrite; on a partition
         column the deleted files are pruned. `compact()` rewrites the files.
@@ -97,6 +100,11 @@ class VersionedTable:
         """Rewrite the surviving rows, so that deleted rows are gone from the current files."""
         return self.overwrite(self.read(), partition_by, "COMPACT")
 
+    def optimize(self, columns: list[str], files: int, partition_by: list[str] | None = None) -> DataFrame:
+        """Rewrite the rows clustered by `columns`."""
+        clustered = zorder(self.read(), columns, files, partition_by)
+        return self.overwrite(clustered, partition_by, "OPTIMIZE", {"zorder": columns})
+
     def _append(self, before, operation, parameters, rows_after, data, schema, deleted) -> None:
         row = (
             0 if before is None else before["version"] + 1,

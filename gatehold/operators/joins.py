@@ -38,7 +38,9 @@ def hot_key_hashes(df: DataFrame, keys: list[str], share: float = HOT_SHARE) ->
     qualify, so the list is small by construction. It only steers balance: the
     salted join is exact for any list.
     """
-    top = F.call_function("approx_top_k", _key_hash(keys), F.lit(int(1 / share)), F.lit(_SKETCH_ITEMS))
+    most = int(1 / share)
+    tracked = max(_SKETCH_ITEMS, 10 * most)
+    top = F.call_function("approx_top_k", _key_hash(keys), F.lit(most), F.lit(tracked))
     found = df.dropna(subset=keys).agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
     return [entry["item"] for entry in found["top"] or [] if entry["count"] >= share * found["n"]]
 

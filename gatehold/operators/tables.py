@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gatehold.operators.layout import zorder
+
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
@@ -33,29 +35,50 @@ def create_table(df: DataFrame, name: str) -> DataFrame:
 def replace_table(
     df: DataFrame, name: str, partition_by: list[str] | None = None, order_by: list[str] | None = None
 ) -> DataFrame:
-    """Drop and create as select, optionally partitioned, rows sorted inside each file.
+    """Replace a table by the rows of `df`, optionally partitioned, rows sorted inside each file.
+
+    `df` must not read the table itself; Spark refuses that.
 
     The REBALANCE hint gathers each partition value and lets adaptive execution
     cut a large value into several files and merge small ones; unlike a global
     sort it does not evaluate the input twice to find range bounds.
     """
-    spark = df.sparkSession
     partition_by, order_by = list(partition_by or []), list(order_by or [])
     laid_out = df.hint("rebalance", *partition_by) if partition_by else df
     if partition_by or order_by:
         laid_out = laid_out.sortWithinPartitions(*partition_by, *order_by)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = laid_out.write.format("parquet")
+    writer = laid_out.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
-    return spark.table(name)
+    return df.sparkSession.table(name)
 
 
 def copy_table(spark: SparkSession, source: str, target: str, partition_by: list[str] | None = None) -> DataFrame:
     return replace_table(spark.table(source), target, partition_by)
 
 
+def optimize_table(spark: SparkSession, name: str, columns: list[str], files: int, path: str) -> DataFrame:
+    """Rewrite a table clustered by `columns` to the new folder `path`, keeping its partitioning.
+
+    The table is pointed to the new folder only when all rows are there; if the
+    job dies before that, it is as it was.
+    """
+    before = spark.table(name)
+    partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    writer = zorder(before, columns, files, partition_by).write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    schema = ", ".join(f"`{c}` {t}" for c, t in before.dtypes)
+    partitioned = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet {partitioned} LOCATION '{path}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
 def export_csv(df: DataFrame, path: str, files: int = 3) -> None:
     """CSV with a header line in exactly `files` files (round robin)."""
     df.repartition(files).write.mode("overwrite").csv(path, header=True)

@@ -2,6 +2,7 @@ import glob
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from gatehold.operators import tables
 from gatehold.operators.history import VersionedTable
@@ -32,6 +33,49 @@ def test_replace_partitioned_and_copy(spark, silver, database):
     assert again.count() == 3
 
 
+def test_a_table_cannot_be_replaced_by_itself(spark, silver, database):
+    tables.replace_table(silver, f"{database}.kept", ["Year"])
+    with pytest.raises(AnalysisException):
+        tables.replace_table(spark.table(f"{database}.kept").filter("Year = 2007"), f"{database}.kept", ["Year"])
+    assert spark.table(f"{database}.kept").count() == 7
+
+
+def test_a_hot_partition_is_written_as_several_files(spark, database):
+    """Nine tenths of the rows are in one year; no task writes them all."""
+    rows = spark.range(0, 200_000, 1, 8).selectExpr("if(id % 10 = 0, 1990 + id % 7, 2008) AS Year", "uuid() AS text")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        table = tables.replace_table(rows, f"{database}.hot_year", ["Year"], ["text"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert table.count() == 200_000
+    sizes = table.filter("Year = 2008").groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) >= 4 and max(r["count"] for r in sizes) < 70_000
+
+
+def test_optimize_keeps_rows_and_partitioning(spark, silver, database, tmp_path):
+    name = f"{database}.optimized"
+    tables.replace_table(silver, name, ["Year"], ["DateString"])
+    after = tables.optimize_table(spark, name, ["DateString", "Dest"], 2, str(tmp_path / "optimized"))
+    assert rows_of(after, *silver.columns) == rows_of(silver)
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 3
+    again = tables.optimize_table(spark, name, ["Dest"], 1, str(tmp_path / "again"))
+    assert rows_of(again, *silver.columns) == rows_of(silver)
+
+
+def test_optimize_an_unpartitioned_table(spark, daily, database, tmp_path):
+    tables.replace_table(daily, f"{database}.optimized_weather")
+    after = tables.optimize_table(spark, f"{database}.optimized_weather", ["TMIN", "DATE"], 2, str(tmp_path / "w"))
+    assert rows_of(after) == rows_of(daily)
+
+
+def test_optimize_a_versioned_table(spark, raw, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "bronze"))
+    table.overwrite(raw, ["Year"])
+    assert rows_of(table.optimize(["Month", "Dest"], 2, ["Year"]), *raw.columns) == rows_of(raw)
+    assert rows_of(table.history(), "operation", "parameters")[1] == ("OVERWRITE", "{}")
+
+
 def test_replace_unpartitioned(daily, database):
     assert rows_of(tables.replace_table(daily, f"{database}.weather_data")) == rows_of(daily)
 
