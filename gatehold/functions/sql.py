@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# SQL bodies: Spark inlines them, so a call costs no Python.
+from gatehold.functions.columns import LATE_AFTER
+
+# The function names that existing queries call.
+# The bodies are SQL, which Spark inlines, so a call costs no Python.
 _FUNCTIONS = {
     "toDateString(year STRING, month STRING, day STRING) RETURNS STRING": """
         CASE WHEN try_cast(year AS INT) BETWEEN 0 AND 9999 AND try_cast(month AS INT) BETWEEN 0 AND 99
@@ -22,8 +25,8 @@ _FUNCTIONS = {
              THEN try_cast(substring(lpad(t, 4, '0'), 1, 2) AS INT)
                   + try_cast(substring(lpad(t, 4, '0'), 3, 2) AS INT) / 60D
         END""",
-    "delay_label(delay STRING) RETURNS INT": """
-        CASE WHEN coalesce(try_cast(try_cast(delay AS DOUBLE) AS INT), 0) > 15 THEN 1 ELSE 0 END""",
+    "delay_label(delay STRING) RETURNS INT": f"""
+        CASE WHEN try_cast(try_cast(delay AS DOUBLE) AS INT) > {LATE_AFTER} THEN 1 ELSE 0 END""",
 }
 
 

@@ -14,12 +14,20 @@ SALTS = 64
 _SKETCH_ITEMS = 10_000
 
 
+def _value_bytes(name: str, kind: str) -> Column:
+    if kind in ("string", "binary") or kind.startswith(("char", "varchar")):
+        size = F.octet_length(name)
+    elif kind.startswith(("array", "map", "struct")):
+        size = F.octet_length(F.to_json(F.struct(name)))
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(size, F.lit(0)).cast("long") + 8
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """Size of the values of `df`, by one aggregate: 8 bytes per value plus the bytes of its texts."""
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c, t in df.dtypes if t == "string"]
-    text_bytes = F.sum(reduce(add, texts)) if texts else F.lit(0)
-    row = df.agg(F.count(F.lit(1)).alias("n"), text_bytes.alias("text_bytes")).first()
-    return row["n"] * 8 * len(df.columns) + (row["text_bytes"] or 0)
+    row_bytes = reduce(add, [_value_bytes(c, t) for c, t in df.dtypes])
+    return df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

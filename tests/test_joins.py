@@ -79,3 +79,5 @@ def test_size_in_bytes(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "t string, n int")
     assert joins.size_in_bytes(df) == 2 * 8 * 2 + 3
     assert joins.size_in_bytes(df.filter("n > 5")) == 0
+    nested = spark.createDataFrame([(["x" * 50],)], "a array<string>")
+    assert joins.size_in_bytes(nested) > 58
