@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gatehold.llm import oracle, packing, quality_rules
+from gatehold.llm import oracle, packing, quality_rules, suffix_dedup
 
 BPE = "byte_bpe_50k.json"
 
@@ -18,11 +18,15 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_documents(spark, folder), public_tokenizers.path(BPE))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeated(_documents(spark, folder).select("doc_id", "text")).drop("text", "kept_text")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.line_first(_documents(spark, folder).select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
-QUERIES = {f.__name__: f for f in (op6_best_fit_packing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op6_best_fit_packing, op8_suffix_array_dedup, op10_quality_rules)}
 ORACLE_SQL = oracle.ORACLE_SQL
