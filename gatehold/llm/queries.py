@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gatehold.llm import oracle, packing, quality_rules, suffix_dedup
+from gatehold.llm import ngram_join, oracle, packing, quality_rules, suffix_dedup
 
 BPE = "byte_bpe_50k.json"
 
@@ -14,6 +14,10 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(_documents(spark, folder))
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_documents(spark, folder), public_tokenizers.path(BPE))
 
@@ -28,5 +32,5 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op6_best_fit_packing, op8_suffix_array_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_best_fit_packing, op8_suffix_array_dedup, op10_quality_rules)}
 ORACLE_SQL = oracle.ORACLE_SQL
