@@ -35,7 +35,7 @@ from gatehold.llm.storage import Rounds
 WIDTH = 3
 SIMILARITY = Fraction(9, 10)
 SMALL_MEMBERS = 100  # a family with more members, or more shingles, is not searched in one task
-SMALL_SHINGLES = 1 << 20
+SMALL_SHINGLES = 1 << 21
 _STEP = 1.5  # growth of the sizes that share a number of segments
 _SPARE = 3  # segments that are equal at least
 _SAMPLE = 64  # expected number of members from which the usual shingles of a large family are taken
@@ -44,7 +44,7 @@ _PARTNERS = 256  # members of a large family for each copy of its usual shingles
 _BUCKET = log(1.02)  # sizes in one bucket of an inverted list differ by 2 %
 
 _SETS = "doc_id long, n_shingles long, class long, segments array<long>"
-_MEMBERS = "family long, class long, size long, shingles array<long>"
+_MEMBERS = "family long, members long, class long, size long, shingles array<long>"
 _DESCRIBED = "family long, class long, size long, differences long, rarest array<long>"
 
 
@@ -250,12 +250,12 @@ def _search_family(width: int, j: Fraction):
 def _emit_members(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, stop, data, offsets in blocks(batch.column(2)):
+            for first, stop, data, offsets in blocks(batch.column(3)):
                 values, row, rows = _sets(data, offsets, width)
-                wanted = batch.column(1).slice(first, stop - first)
+                family, members, wanted = (batch.column(i).slice(first, stop - first) for i in range(3))
                 same = pa.array(_classes(values, row, np.diff(rows)) == wanted.to_numpy(zero_copy_only=False))
-                columns = [batch.column(0).slice(first, stop - first), wanted, pa.array(np.diff(rows)), _list_column(values, rows)]
-                yield pa.RecordBatch.from_arrays(columns, ["family", "class", "size", "shingles"]).filter(same)
+                columns = [family, members, wanted, pa.array(np.diff(rows)), _list_column(values, rows)]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _MEMBERS.split(", ")]).filter(same)
 
     return run
 
@@ -265,7 +265,8 @@ def _usual(table: pa.Table) -> pa.Table:
     own = table.column("shingles").combine_chunks().flatten().to_numpy()
     values, count = np.unique(own, return_counts=True)
     usual = values[2 * count > len(table)]
-    return pa.table({"family": table.column("family").slice(0, 1), "usual": pa.array([usual.tolist()], pa.list_(pa.int64()))})
+    first = table.select(["family", "members"]).slice(0, 1)
+    return first.append_column("usual", pa.array([usual.tolist()], pa.list_(pa.int64())))
 
 
 def _describe(j: Fraction):
@@ -288,26 +289,27 @@ def _describe(j: Fraction):
     return run
 
 
-def _large_links(rounds: Rounds, members: DataFrame, families: DataFrame, j: Fraction) -> DataFrame:
-    """(u, v) links of the members of large families that have the same components as all their links."""
+def _large_links(rounds: Rounds, members: DataFrame, j: Fraction) -> DataFrame:
+    """(u, v) links of the members of large families that have the same components as all their links.
+
+    A member that is there twice, as a repeated row is, changes nothing.
+    """
     d = (1 - j) / (1 + j)
     sampled = F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / _SAMPLE)) == 0
     usual = (
-        members.join(families, "family")
-        .filter(sampled)
-        .select("family", "shingles")
+        members.filter(sampled)
+        .select("family", "members", "shingles")
         .groupBy("family")
-        .applyInArrow(_usual, "family long, usual array<long>")
+        .applyInArrow(_usual, "family long, members long, usual array<long>")
     )
     usual = rounds.store(usual, "usual")
     parts = F.ceil(F.col("members") / _PARTNERS)
-    copies = usual.join(families, "family").select(
+    copies = usual.select(
         "family", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "usual"
     )
     copies = rounds.store(copies, "usual-copies")
     described = (
-        members.join(families, "family")
-        .withColumn("part", F.pmod(F.xxhash64("class", F.lit(1)), parts).cast("long"))
+        members.withColumn("part", F.pmod(F.xxhash64("class", F.lit(1)), parts).cast("long"))
         .join(copies, ["family", "part"], "left")
         .select("family", "class", "size", "shingles", "usual")
         .mapInArrow(_describe(j), _DESCRIBED)
@@ -315,8 +317,10 @@ def _large_links(rounds: Rounds, members: DataFrame, families: DataFrame, j: Fra
     # Two members are linked for certain when their slacks add up to 0 or less.
     slack = F.col("differences") * d.denominator - F.col("size") * d.numerator
     described = rounds.store(described.withColumn("slack", slack), "described")
-    centres = described.groupBy("family").agg(F.min(F.struct("slack", "class")).alias("centre"))
-    centres = rounds.store(centres.select("family", "centre.*").toDF("family", "least", "centre"), "centres")
+    centres = described.groupBy("family").agg(
+        F.min(F.struct("slack", "class")).alias("centre"), F.max("slack").alias("greatest")
+    )
+    centres = rounds.store(centres.select("family", "centre.*", "greatest").toDF("family", "least", "centre", "greatest"), "centres")
     described = described.join(centres, "family").withColumn("outside", F.col("slack") + F.col("least") > 0)
     star = described.filter(~F.col("outside") & (F.col("class") != F.col("centre"))).select("class", "centre").toDF("u", "v")
 
@@ -324,36 +328,37 @@ def _large_links(rounds: Rounds, members: DataFrame, families: DataFrame, j: Fra
         return F.floor(F.log(size.cast("double")) / _BUCKET).cast("long")
 
     top, low = d.denominator + d.numerator, d.denominator - d.numerator  # 2 * (1 + j), 2 * j in the same unit
-    items = described.select("family", "class", "size", "outside", F.posexplode("rarest").alias("at", "shingle"))
+    # A family whose members are all tied to the centre needs no more links.
+    items = described.filter("greatest + least > 0").select(
+        "family", "class", "size", "outside", F.posexplode("rarest").alias("at", "shingle")
+    )
     left = F.col("size") - F.col("at")  # shingles from this one on
     smallest = F.ceil(F.col("size") * j.numerator / j.denominator)
     most = F.floor(left * (d.denominator * 2) / low) - F.col("size")
-    probes = (
-        items.withColumn("most", F.least("size", most).cast("long"))
-        .filter(F.col("most") >= smallest)
-        .withColumn("bucket", F.explode(F.sequence(bucket(smallest), bucket(F.col("most")))))
-        .select(
-            "family", "shingle", "bucket", "most", F.col("class").alias("u"), F.col("outside").alias("u_outside"),
-            F.col("size").alias("u_size"),
-        )
-    )
+    probes = items.withColumn("most", F.least("size", most).cast("long")).filter(F.col("most") >= smallest)
     need = F.ceil(F.col("size") * 2 * low / (d.denominator * 2))
     index = items.filter(left >= need).select(
         "family", "shingle", bucket(F.col("size")).alias("bucket"), F.col("class").alias("v"),
         F.col("outside").alias("v_outside"), F.col("size").alias("v_size"), left.alias("v_left"),
     )
+    outer = index.filter("v_outside")
+    # Members at the centre only look for those outside, so only in lists that have such.
+    tied = probes.filter("not outside").join(outer.select("family", "shingle").distinct(), ["family", "shingle"], "left_semi")
+
+    def found(searching: DataFrame, among: DataFrame) -> DataFrame:
+        searching = searching.select(
+            "family", "shingle", F.explode(F.sequence(bucket(smallest), bucket(F.col("most")))).alias("bucket"), "most",
+            F.col("class").alias("u"), F.col("size").alias("u_size"),
+        )
+        return searching.join(among, ["family", "shingle", "bucket"]).filter(fits).select("u", "v")
+
     fits = (
         (F.col("u") != F.col("v"))
         & (F.col("v_size") <= F.col("most"))
         & (F.col("v_left") * (d.denominator * 2) >= (F.col("u_size") + F.col("v_size")) * low)
     )
-    key = ["family", "shingle", "bucket"]
-    pairs = (
-        probes.filter("u_outside").join(index, key).filter(fits).select("u", "v")
-        .union(probes.filter("not u_outside").join(index.filter("v_outside"), key).filter(fits).select("u", "v"))
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct()
-    )
+    pairs = found(probes.filter("outside"), index).union(found(tied, outer))
+    pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = rounds.store(pairs, "candidates")
     own = members.select("class", "size", "shingles")
     checked = pairs.join(own.toDF("u", "u_size", "u_set"), "u").join(own.toDF("v", "v_size", "v_set"), "v")
@@ -400,18 +405,25 @@ def jaccard_components(
         "large", (F.col("members") > small_members) | (F.col("shingles") > SMALL_SHINGLES)
     ).drop("shingles")
     measured = rounds.store(measured, "family-sizes")
-    wanted = family.join(measured, "family").select("family", "class", "large", F.col("first_id").alias("doc_id"))
-    wanted = texts.join(wanted, "doc_id").select("family", "class", "large", F.coalesce("text", F.lit("")).alias("text"))
+    wanted = family.join(measured, "family").select(
+        "family", "members", "class", "large", F.col("first_id").alias("doc_id")
+    )
+    wanted = texts.join(wanted, "doc_id").select(
+        "family", "members", "class", "large", F.coalesce("text", F.lit("")).alias("text")
+    )
     wanted = rounds.store(wanted, "family-texts")
     small = (
         wanted.filter("not large")
+        .select("family", "class", "text")
         .groupBy("family")
         .applyInArrow(_search_family(width, similarity), "class long, component long")
     )
     small = rounds.store(small, "small-components")
-    large = wanted.filter("large").select("family", "class", "text").mapInArrow(_emit_members(width), _MEMBERS)
-    large = rounds.store(large.dropDuplicates(["class"]), "large-members")
-    links = _large_links(rounds, large, measured.filter("large").select("family", "members"), similarity)
+    large = wanted.filter("large").select("family", "members", "class", "text")
+    large = rounds.store(large.mapInArrow(_emit_members(width), _MEMBERS), "large-members")
+    del wanted
+    rounds.drop("family-texts")
+    links = _large_links(rounds, large, similarity)
     found = small.union(components(links).select("node", "component"))
     joined = rounds.store(
         classes.join(found, "class", "left").select("class", "first_id", F.coalesce("component", "class").alias("component")),
@@ -419,8 +431,8 @@ def jaccard_components(
     )
     least = rounds.store(joined.groupBy("component").agg(F.min("first_id").alias("component_id")), "least-ids")
     by_class = rounds.store(joined.join(least, "component").select("class", "component_id"), "by-class")
-    del wanted, small, large, found, links, joined, least
-    rounds.drop("same-segment", "families", "family-texts", "large-members", "candidates", "joined")
+    del small, large, found, links, joined, least
+    rounds.drop("same-segment", "families", "large-members", "candidates", "joined")
     return rows.select("doc_id", "n_shingles", "class").join(by_class, "class", "left").select(
         "doc_id",
         "n_shingles",
