@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # White space that ends a word, as a class inside a regular expression and as characters.
 SPACE = r"\x20\x09-\x0D"
@@ -30,3 +31,11 @@ def quoted(name: str) -> Column:
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id as long and the text, under their usual names; other columns are pruned from the scan."""
     return df.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("text"))
+
+
+def extended(schema: StructType, *fields: tuple[str, str]) -> StructType:
+    """A new schema with more fields (name, type); `StructType.add` would change the frame's own."""
+    out = StructType(list(schema.fields))
+    for name, kind in fields:
+        out.add(name, kind)
+    return out

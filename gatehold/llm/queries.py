@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gatehold.llm import ngram_join, oracle, packing, quality_rules, suffix_dedup
+from gatehold.llm import langid, ngram_join, oracle, packing, quality_rules, suffix_dedup
 
 BPE = "byte_bpe_50k.json"
 
@@ -18,6 +19,13 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, folder))
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    training = docs.filter(~langid.held_out("doc_id", 0))
+    predicted = langid.predict(docs.select("doc_id", "text"), langid.fit(training))
+    return predicted.select("doc_id", langid.held_out("doc_id", 0).alias("held_out"), "lang_pred", "score", "cross_entropy")
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_documents(spark, folder), public_tokenizers.path(BPE))
 
@@ -32,5 +40,5 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op6_best_fit_packing, op8_suffix_array_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op5_language_id, op6_best_fit_packing, op8_suffix_array_dedup, op10_quality_rules)}
 ORACLE_SQL = oracle.ORACLE_SQL
