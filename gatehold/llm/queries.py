@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatehold.llm import langid, ngram_join, oracle, packing, quality_rules, suffix_dedup
+from gatehold.llm import langid, ngram_join, oracle, packing, perplexity, quality_rules, suffix_dedup
 
 BPE = "byte_bpe_50k.json"
 
@@ -30,6 +31,12 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_documents(spark, folder), public_tokenizers.path(BPE))
 
 
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder).select("doc_id", "text", "lang")
+    judge = perplexity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return perplexity.judged(docs, judge).select("doc_id", "cross_entropy", "limit", "kept")
+
+
 def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeated(_documents(spark, folder).select("doc_id", "text")).drop("text", "kept_text")
 
@@ -40,5 +47,6 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op5_language_id, op6_best_fit_packing, op8_suffix_array_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op5_language_id, op6_best_fit_packing, op7_quality_classifier, op8_suffix_array_dedup, op10_quality_rules)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE_SQL = oracle.ORACLE_SQL
