@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 from math import log, log2
 
@@ -34,14 +34,14 @@ from gatehold.llm.storage import Rounds
 
 WIDTH = 3
 SIMILARITY = Fraction(9, 10)
-SMALL_MEMBERS = 100  # a family with more members, or more shingles, is not searched in one task
+SMALL_MEMBERS = 250  # a family with more members, or more shingles, is not searched in one task
 SMALL_SHINGLES = 1 << 21
 _STEP = 1.5  # growth of the sizes that share a number of segments
 _SPARE = 3  # segments that are equal at least
 _SAMPLE = 64  # expected number of members from which the usual shingles of a large family are taken
 
 _PARTNERS = 256  # members of a large family for each copy of its usual shingles
-_BUCKET = log(1.02)  # sizes in one bucket of an inverted list differ by 2 %
+_BUCKET = log(1.03)  # sizes in one bucket of an inverted list differ by 3 %
 
 _SETS = "doc_id long, n_shingles long, class long, segments array<long>"
 _MEMBERS = "family long, members long, class long, size long, shingles array<long>"
@@ -121,12 +121,14 @@ def _emit_segments(values: np.ndarray, rows: np.ndarray, chosen: np.ndarray, j:
     return np.concatenate(out_segment).view(np.int64), np.concatenate(out_row)
 
 
-def divide_skip(lists: list[tuple[int, int]], ids: list[int], stop: int, least: int) -> Iterator[tuple[int, int]]:
+def divide_skip(
+    lists: list[tuple[int, int]], ids: list[int], stop: int, least: int, known: Callable[[int], bool] = lambda i: False
+) -> Iterator[tuple[int, int]]:
     """(id, number of lists with it) of the ids below `stop` in at least `least` of the inverted lists.
 
     A list is ids[first:end], ascending. The longest lists, fewer than `least`, are set aside; an id must be in enough
     of the others, which a heap merges. When the ids at the top are too few, the heap skips to the next id that can
-    still be in enough lists. Found ids are looked up in the long lists by binary search.
+    still be in enough lists. Found ids are looked up in the long lists by binary search, unless they are `known`.
     """
     lists = sorted(lists, key=lambda x: x[1] - x[0])
     longest = lists[-1][1] - lists[-1][0] if lists else 0
@@ -139,7 +141,7 @@ def divide_skip(lists: list[tuple[int, int]], ids: list[int], stop: int, least:
         top, popped = heap[0][0], []
         while heap and heap[0][0] == top:
             popped.append(heapq.heappop(heap))
-        if len(popped) >= need:
+        if len(popped) >= need and not known(top):
             found, left = len(popped), len(long)
             for a, b in long:
                 if found + left < least:
@@ -150,6 +152,8 @@ def divide_skip(lists: list[tuple[int, int]], ids: list[int], stop: int, least:
             if found >= least:
                 yield top, found
             target = top + 1
+        elif len(popped) >= need:
+            target = top + 1
         else:
             while heap and len(popped) < need - 1:
                 popped.append(heapq.heappop(heap))
@@ -162,8 +166,26 @@ def divide_skip(lists: list[tuple[int, int]], ids: list[int], stop: int, least:
                 heapq.heappush(heap, (ids[at], at, b))
 
 
-def linked_pairs(sets: list[np.ndarray], j: Fraction) -> Iterator[tuple[int, int]]:
-    """Pairs of positions of the sets, ascending arrays without repeats, with Jaccard `j` or more."""
+class Groups:
+    """Disjoint groups of positions; the least position stands for a group."""
+
+    def __init__(self, n: int):
+        self._above = list(range(n))
+
+    def of(self, i: int) -> int:
+        while self._above[i] != i:
+            self._above[i] = self._above[self._above[i]]
+            i = self._above[i]
+        return i
+
+    def join(self, i: int, k: int) -> None:
+        i, k = self.of(i), self.of(k)
+        self._above[max(i, k)] = min(i, k)
+
+
+def linked_groups(sets: list[np.ndarray], j: Fraction) -> Groups:
+    """Groups of the sets, ascending arrays without repeats, that links of Jaccard `j` or more make."""
+    groups = Groups(len(sets))
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
     sizes = [len(sets[i]) for i in order]
     values = np.concatenate([sets[i] for i in order]) if order else np.zeros(0, np.uint64)
@@ -179,25 +201,10 @@ def linked_pairs(sets: list[np.ndarray], j: Fraction) -> Iterator[tuple[int, int
         # Smaller sets come first, so the ids below x are the partners; lists that hold x alone say nothing.
         lists = [(a, a + c) for a, c in zip(first[own].tolist(), count[own].tolist()) if c > 1 and ids[a] < x]
         least = max(1, -(-size * j.numerator // j.denominator))
-        for y, both in divide_skip(lists, ids, x, least):
+        for y, both in divide_skip(lists, ids, x, least, lambda y: groups.of(order[y]) == groups.of(order[x])):
             if both * j.denominator >= j.numerator * (size + sizes[y] - both):
-                yield order[y], order[x]
-
-
-def _union(pairs: Iterator[tuple[int, int]], n: int) -> list[int]:
-    """The least position reachable from each of `n` positions."""
-    root = list(range(n))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for x, y in pairs:
-        x, y = find(x), find(y)
-        root[max(x, y)] = min(x, y)
-    return [find(i) for i in range(n)]
+                groups.join(order[y], order[x])
+    return groups
 
 
 def _list_column(values: np.ndarray, rows: np.ndarray) -> pa.ListArray:
@@ -241,8 +248,9 @@ def _search_family(width: int, j: Fraction):
                 if c == wanted[first + i] and c not in names:  # rows that only share an id, or repeat
                     sets.append(values[rows[i] : rows[i + 1]])
                     names.append(c)
-        roots = _union(linked_pairs(sets, j), len(sets))
-        return pa.table({"class": pa.array(names, pa.int64()), "component": pa.array([names[i] for i in roots], pa.int64())})
+        groups = linked_groups(sets, j)
+        found = [names[groups.of(i)] for i in range(len(names))]
+        return pa.table({"class": pa.array(names, pa.int64()), "component": pa.array(found, pa.int64())})
 
     return run
 
@@ -408,7 +416,8 @@ def jaccard_components(
     wanted = family.join(measured, "family").select(
         "family", "members", "class", "large", F.col("first_id").alias("doc_id")
     )
-    wanted = texts.join(wanted, "doc_id").select(
+    # Texts are shuffled at every size, so that small inputs behave like large ones.
+    wanted = texts.join(wanted.hint("merge"), "doc_id").select(
         "family", "members", "class", "large", F.coalesce("text", F.lit("")).alias("text")
     )
     wanted = rounds.store(wanted, "family-texts")
