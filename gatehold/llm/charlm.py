@@ -9,6 +9,7 @@ Inside a task each distinct word of a block, and each distinct n-gram of these w
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from gatehold.llm.rolling import blocks, lower, running, stretch, word_spans
 from gatehold.llm.storage import Rounds
 
 ORDER = 5
-GRAMS = 50_000  # n-grams of each order and group that a model keeps, the most frequent; bounds what is broadcast
+GRAMS = 30_000  # n-grams of each order and group that a model keeps, the most frequent; bounds what is broadcast
 BLOCK = 4 << 20
 _PAD = 0x20
 
@@ -131,6 +132,15 @@ def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: flo
     return np.where(keys[at] == wanted, values[at], missing)
 
 
+def _rows(arrays: DataFrame) -> Iterator[tuple[int, str, int, np.ndarray, np.ndarray]]:
+    """(order, part, kind, keys, values) of each array of a model."""
+    table = arrays.select("order", "part", "kind", "items.key", "items.value").toArrow()
+    for batch in table.to_batches():
+        for i in range(len(batch)):
+            keys, values = (batch.column(c)[i].values.to_numpy(zero_copy_only=False).copy() for c in (3, 4))
+            yield *(batch.column(c)[i].as_py() for c in range(3)), keys, values
+
+
 def estimate(rounds: Rounds, counts: DataFrame, grams: int = GRAMS) -> dict[str, Model]:
     """A model for each part of (part, gram, n). At most `grams` n-grams of each order and part reach the driver.
 
@@ -154,30 +164,31 @@ def estimate(rounds: Rounds, counts: DataFrame, grams: int = GRAMS) -> dict[str,
             ((F.col("k1") * F.col("d1") + F.col("k2") * F.col("d2") + F.col("k3") * F.col("d3")) / F.col("total")).alias("value"),
         )
         both = seen.withColumn("kind", F.lit(0)).union(back.withColumn("kind", F.lit(1)))
-        orders.append(rounds.store(both.withColumn("power", F.floor(F.log2("n")).cast("int")), f"model-{order}"))
+        both = both.withColumns({"power": F.floor(F.log2("n")).cast("int"), "order": F.lit(order)})
+        orders.append(rounds.store(both, f"model-{order}"))
         if order > 1:
             shorter = level.groupBy("part", F.col("gram").bitwiseAND((1 << 8 * (order - 1)) - 1).alias("gram"))
             level = rounds.store(shorter.agg(F.count(F.lit(1)).alias("n")), f"grams-{order - 1}")
-    for table in reversed(orders):
-        sizes: dict[tuple[str, int], dict[int, int]] = {}
-        for r in table.groupBy("part", "kind", "power").count().collect():  # at most 64 rows for each part and kind
-            sizes.setdefault((r["part"], r["kind"]), {})[r["power"]] = r["count"]
-        least = []
-        for (part, kind), by_power in sizes.items():
-            kept, power = 0, max(by_power) + 1
-            for k in sorted(by_power, reverse=True):
-                if kept + by_power[k] > grams:
-                    break
-                kept, power = kept + by_power[k], k
-            least.append((F.col("part") == part) & (F.col("kind") == kind) & (F.col("power") >= power))
-        chosen = table.filter(F.lit(False) if not least else least[0])
-        for condition in least[1:]:
-            chosen = chosen.union(table.filter(condition))
-        frame = chosen.select("part", "kind", "key", "value").toPandas().sort_values("key")
-        for part in {p for p, _ in sizes}:
-            model = models.setdefault(part, Model())
-            for kind, into in ((0, model.seen), (1, model.contexts)):
-                own = frame[(frame["part"] == part) & (frame["kind"] == kind)]
-                into.append((own["key"].to_numpy(np.int64), own["value"].to_numpy(np.float64)))
+    model = reduce(DataFrame.union, orders)
+    sizes: dict[tuple, dict[int, int]] = {}
+    for r in model.groupBy("order", "part", "kind", "power").count().collect():  # at most 64 rows for each array
+        sizes.setdefault((r["order"], r["part"], r["kind"]), {})[r["power"]] = r["count"]
+    least = []
+    for key, by_power in sizes.items():
+        kept, power = 0, max(by_power) + 1
+        for k in sorted(by_power, reverse=True):
+            if kept + by_power[k] > grams:
+                break
+            kept, power = kept + by_power[k], k
+        least.append((*key, power))
+    least = model.sparkSession.createDataFrame(least, "order int, part string, kind int, least int")
+    chosen = model.join(F.broadcast(least), ["order", "part", "kind"]).filter("power >= least")
+    arrays = chosen.groupBy("order", "part", "kind").agg(F.sort_array(F.collect_list(F.struct("key", "value"))).alias("items"))
+    found = {(r[0], r[1], r[2]): (r[3], r[4]) for r in _rows(arrays)}
+    for part in {part for _, part, _ in sizes}:
+        models[part] = Model()
+        for order in range(1, ORDER + 1):
+            for kind, into in ((0, models[part].seen), (1, models[part].contexts)):
+                into.append(found.get((order, part, kind), (np.zeros(0, np.int64), np.zeros(0))))
     rounds.drop(*(f"grams-{o}" for o in range(1, ORDER + 1)), *(f"model-{o}" for o in range(1, ORDER + 1)))
     return models
