@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatehold.llm import langid, ngram_join, oracle, packing, perplexity, quality_rules, suffix_dedup
+from gatehold.llm import langid, ngram_join, oracle, packing, perplexity, quality_rules, suffix_dedup, vector_graph
 
 BPE = "byte_bpe_50k.json"
 
@@ -20,6 +20,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, folder))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_graph.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
     training = docs.filter(~langid.held_out("doc_id", 0))
@@ -47,6 +51,6 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op5_language_id, op6_best_fit_packing, op7_quality_classifier, op8_suffix_array_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_embedding_near_dedup, op5_language_id, op6_best_fit_packing, op7_quality_classifier, op8_suffix_array_dedup, op10_quality_rules)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE_SQL = oracle.ORACLE_SQL
