@@ -35,7 +35,5 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def extended(schema: StructType, *fields: tuple[str, str]) -> StructType:
     """A new schema with more fields (name, type); `StructType.add` would change the frame's own."""
-    out = StructType(list(schema.fields))
-    for name, kind in fields:
-        out.add(name, kind)
-    return out
+    new = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields))
+    return StructType([*schema.fields, *new.fields])

@@ -48,7 +48,7 @@ _MEMBERS = "family long, members long, class long, size long, shingles array<lon
 _DESCRIBED = "family long, class long, size long, differences long, rarest array<long>"
 
 
-def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sets_of(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct shingles, ascending in each row; their rows; first of each row and their number)."""
     values, rows = shingles(*word_hashes(data, offsets), width)
     row = row_of(rows)
@@ -60,7 +60,7 @@ def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray
     return values, row, np.searchsorted(row, np.arange(len(offsets)))
 
 
-def _classes(values: np.ndarray, row: np.ndarray, size: np.ndarray) -> np.ndarray:
+def classes_of(values: np.ndarray, row: np.ndarray, size: np.ndarray) -> np.ndarray:
     total = np.zeros(len(size), np.uint64)
     np.add.at(total, row, mix(values))
     return mix(total + size.astype(np.uint64)).view(np.int64)
@@ -217,9 +217,9 @@ def _emit_sets(width: int, j: Fraction):
         for batch in batches:
             for first, stop, data, offsets in blocks(batch.column(1)):
                 ids = batch.column(0).slice(first, stop - first)
-                values, row, rows = _sets(data, offsets, width)
+                values, row, rows = sets_of(data, offsets, width)
                 size = np.diff(rows)
-                classes = _classes(values, row, size)
+                classes = classes_of(values, row, size)
                 # A text that was there before in this task has no segments to add; one without an id is in no link.
                 new = np.array([not (c in seen or seen.add(c)) for c in np.where(size > 0, classes, 0).tolist()], bool)
                 new &= ids.is_valid().to_numpy(zero_copy_only=False)
@@ -242,8 +242,8 @@ def _search_family(width: int, j: Fraction):
         wanted = table.column("class").to_numpy()
         sets, names = [], []
         for first, _, data, offsets in blocks(table.column("text")):
-            values, row, rows = _sets(data, offsets, width)
-            classes = _classes(values, row, np.diff(rows))
+            values, row, rows = sets_of(data, offsets, width)
+            classes = classes_of(values, row, np.diff(rows))
             for i, c in enumerate(classes.tolist()):
                 if c == wanted[first + i] and c not in names:  # rows that only share an id, or repeat
                     sets.append(values[rows[i] : rows[i + 1]])
@@ -259,9 +259,9 @@ def _emit_members(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, stop, data, offsets in blocks(batch.column(3)):
-                values, row, rows = _sets(data, offsets, width)
+                values, row, rows = sets_of(data, offsets, width)
                 family, members, wanted = (batch.column(i).slice(first, stop - first) for i in range(3))
-                same = pa.array(_classes(values, row, np.diff(rows)) == wanted.to_numpy(zero_copy_only=False))
+                same = pa.array(classes_of(values, row, np.diff(rows)) == wanted.to_numpy(zero_copy_only=False))
                 columns = [family, members, wanted, pa.array(np.diff(rows)), _list_column(values, rows)]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _MEMBERS.split(", ")]).filter(same)
 
@@ -375,6 +375,46 @@ def _large_links(rounds: Rounds, members: DataFrame, j: Fraction) -> DataFrame:
     return rounds.store(star.union(checked.filter(alike).select("u", "v")), "large-links")
 
 
+def class_components(
+    rounds: Rounds,
+    classes: DataFrame,
+    links: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    width: int,
+    similarity: Fraction,
+    small_members: int = SMALL_MEMBERS,
+) -> DataFrame:
+    """(class, component) of the classes in `links` (u, v), which name pairs that may be similar enough.
+
+    Classes come with first_id, which stands for a text, and size. `fetch` replaces first_id by text in rows with it; a
+    text that is of another class is passed over.
+    """
+    family = components(links).select(F.col("component").alias("family"), F.col("node").alias("class"))
+    family = rounds.store(family.join(classes, "class"), "families")
+    measured = family.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("shingles"))
+    measured = measured.withColumn(
+        "large", (F.col("members") > small_members) | (F.col("shingles") > SMALL_SHINGLES)
+    ).drop("shingles")
+    measured = rounds.store(measured, "family-sizes")
+    wanted = family.join(measured, "family").select(
+        "family", "members", "class", "large", "first_id"
+    )
+    wanted = rounds.store(fetch(wanted), "family-texts")
+    small = (
+        wanted.filter("not large")
+        .select("family", "class", "text")
+        .groupBy("family")
+        .applyInArrow(_search_family(width, similarity), "class long, component long")
+    )
+    small = rounds.store(small, "small-components")
+    large = wanted.filter("large").select("family", "members", "class", "text")
+    large = rounds.store(large.mapInArrow(_emit_members(width), _MEMBERS), "large-members")
+    del wanted
+    rounds.drop("family-texts")
+    links = _large_links(rounds, large, similarity)
+    return small.union(components(links).select("node", "component"))
+
+
 def jaccard_components(
     docs: DataFrame,
     width: int = WIDTH,
@@ -406,41 +446,22 @@ def jaccard_components(
         .agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("size"))
     )
     classes = rounds.store(classes, "classes")
-    family = components(links).select(F.col("component").alias("family"), F.col("node").alias("class"))
-    family = rounds.store(family.join(classes, "class"), "families")
-    measured = family.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("shingles"))
-    measured = measured.withColumn(
-        "large", (F.col("members") > small_members) | (F.col("shingles") > SMALL_SHINGLES)
-    ).drop("shingles")
-    measured = rounds.store(measured, "family-sizes")
-    wanted = family.join(measured, "family").select(
-        "family", "members", "class", "large", F.col("first_id").alias("doc_id")
-    )
-    # Texts are shuffled at every size, so that small inputs behave like large ones.
-    wanted = texts.join(wanted.hint("merge"), "doc_id").select(
-        "family", "members", "class", "large", F.coalesce("text", F.lit("")).alias("text")
-    )
-    wanted = rounds.store(wanted, "family-texts")
-    small = (
-        wanted.filter("not large")
-        .select("family", "class", "text")
-        .groupBy("family")
-        .applyInArrow(_search_family(width, similarity), "class long, component long")
-    )
-    small = rounds.store(small, "small-components")
-    large = wanted.filter("large").select("family", "members", "class", "text")
-    large = rounds.store(large.mapInArrow(_emit_members(width), _MEMBERS), "large-members")
-    del wanted
-    rounds.drop("family-texts")
-    links = _large_links(rounds, large, similarity)
-    found = small.union(components(links).select("node", "component"))
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        # Texts are shuffled at every size, so that small inputs behave like large ones.
+        wanted = wanted.withColumnRenamed("first_id", "doc_id").hint("merge")
+        return texts.join(wanted, "doc_id").select(
+            "family", "members", "class", "large", F.coalesce("text", F.lit("")).alias("text")
+        )
+
+    found = class_components(rounds, classes, links, fetch, width, similarity, small_members)
     joined = rounds.store(
         classes.join(found, "class", "left").select("class", "first_id", F.coalesce("component", "class").alias("component")),
         "joined",
     )
     least = rounds.store(joined.groupBy("component").agg(F.min("first_id").alias("component_id")), "least-ids")
     by_class = rounds.store(joined.join(least, "component").select("class", "component_id"), "by-class")
-    del small, large, found, links, joined, least
+    del found, links, joined, least
     rounds.drop("same-segment", "families", "large-members", "candidates", "joined")
     return rows.select("doc_id", "n_shingles", "class").join(by_class, "class", "left").select(
         "doc_id",

@@ -7,9 +7,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatehold.llm import langid, ngram_join, oracle, packing, perplexity, quality_rules, suffix_dedup, vector_graph
+from gatehold.llm import (
+    langid, ngram_join, oracle, packing, paragraphs, perplexity, quality_rules, sentencepiece_codec, suffix_dedup,
+    vector_graph,
+)
 
 BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +28,12 @@ def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vector_graph.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = paragraphs.remove_paragraphs(_documents(spark, folder).select("doc_id", "text"))
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return cleaned.select("doc_id", "n_paragraphs", "n_removed", "removed", digest)
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
     training = docs.filter(~langid.held_out("doc_id", 0))
@@ -45,12 +55,22 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeated(_documents(spark, folder).select("doc_id", "text")).drop("text", "kept_text")
 
 
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_codec.checked(_documents(spark, folder), public_tokenizers.path(PIECES))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.line_first(_documents(spark, folder).select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_embedding_near_dedup, op5_language_id, op6_best_fit_packing, op7_quality_classifier, op8_suffix_array_dedup, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join, op3_embedding_near_dedup, op4_substring_dedup, op5_language_id, op6_best_fit_packing,
+        op7_quality_classifier, op8_suffix_array_dedup, op9_sentencepiece, op10_quality_rules,
+    )
+}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE_SQL = oracle.ORACLE_SQL
