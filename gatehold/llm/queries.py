@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatehold.llm import (
-    langid, ngram_join, oracle, packing, paragraphs, perplexity, quality_rules, sentencepiece_codec, suffix_dedup,
-    vector_graph,
+    attention_lm, langid, ngram_join, oracle, packing, paragraphs, perplexity, quality_rules, sentencepiece_codec,
+    suffix_dedup, vector_graph,
 )
 
 BPE = "byte_bpe_50k.json"
@@ -24,6 +24,13 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, folder))
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    held_out = langid.held_out("doc_id", 1)
+    scored = attention_lm.score(docs, ~held_out, public_tokenizers.path(BPE), lang_col="lang")
+    return scored.withColumn("held_out", held_out)
+
+
 def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vector_graph.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -68,7 +75,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_ngram_jaccard_join, op3_embedding_near_dedup, op4_substring_dedup, op5_language_id, op6_best_fit_packing,
+        op1_ngram_jaccard_join, op2_lm_scoring, op3_embedding_near_dedup, op4_substring_dedup, op5_language_id, op6_best_fit_packing,
         op7_quality_classifier, op8_suffix_array_dedup, op9_sentencepiece, op10_quality_rules,
     )
 }
