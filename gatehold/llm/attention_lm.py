@@ -26,7 +26,7 @@ from gatehold.llm.columns import quoted
 from gatehold.llm.rolling import blocks, lower, running, stretch, word_spans
 from gatehold.llm.storage import Rounds
 
-BLOCK_BYTES = 16 << 20  # texts that are scored together; a longer text is a block by itself
+BLOCK_BYTES = 8 << 20  # texts that are scored together; a longer text is a block by itself
 SAMPLE_DOCS = 300  # training documents that the network is trained on, about
 SAMPLE_BYTES = 4_000  # bytes of each of them that the network sees; scoring takes whole texts
 CONTEXT = 32  # words before the ones a window scores

@@ -21,7 +21,7 @@ from gatehold.llm.storage import Rounds
 
 ORDER = 5
 GRAMS = 30_000  # n-grams of each order and group that a model keeps, the most frequent; bounds what is broadcast
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 _PAD = 0x20
 
 _COUNTS = "part string, gram long, n long"

@@ -436,7 +436,8 @@ def jaccard_components(
     segments = rows.select("class", F.explode("segments").alias("segment"))
     shared = segments.groupBy("segment").agg(F.min("class").alias("least"), F.max("class").alias("most"))
     shared = rounds.store(shared.filter("least < most").select("segment", "least"), "shared")
-    links = segments.join(shared, "segment").filter("class != least").select("class", "least").distinct()
+    # Both joins shuffle at every size, so that small inputs behave like large ones.
+    links = segments.join(shared.hint("merge"), "segment").filter("class != least").select("class", "least").distinct()
     links = rounds.store(links.toDF("u", "v"), "same-segment")
     del segments, shared
     rounds.drop("shared")
