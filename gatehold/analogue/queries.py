@@ -130,7 +130,7 @@ def s4_json(spark, folder):
 @query
 def s5_text_csv(spark, folder):
     path = scratch_path(spark, "weather-csv")
-    tables.export_csv(daily(spark, folder).drop("DATE"), path)
+    tables.export_csv(daily(spark, folder).drop("DATE"), path, files=3)
     return files.text_csv(spark, path)
 
 
@@ -160,7 +160,7 @@ def s8_sql_view(spark, folder):
 
 @query
 def s9_local_frame(spark, folder):
-    frame = tables.to_local(reports.delay_by_destination(silver_flights(spark, folder), [HOME, SECOND]))
+    frame = tables.to_local(reports.delay_by_destination(silver_flights(spark, folder), [HOME, SECOND]), max_rows=100_000)
     return table_sources.local_rows(spark, frame, "year int, dest string, total_delay long")
 
 
@@ -265,14 +265,14 @@ def t12_column_statistics(spark, folder):
 @query
 def t13_cached(spark, folder):
     with tables.cached(silver_flights(spark, folder)) as kept:
-        years = tables.to_local(reports.yearly_delays(kept))
-        present = tables.to_local(reports.years_present(kept))
+        years = tables.to_local(reports.yearly_delays(kept), max_rows=10_000)
+        present = tables.to_local(reports.years_present(kept), max_rows=10_000)
     return spark.createDataFrame(years.merge(present, on="year"), "year int, delayed long, total_delay long")
 
 
 @query
 def t14_local_result(spark, folder):
-    frame = tables.to_local(reports.yearly_delays(silver_flights(spark, folder)))
+    frame = tables.to_local(reports.yearly_delays(silver_flights(spark, folder)), max_rows=10_000)
     return spark.createDataFrame(frame, "year int, delayed long, total_delay long")
 
 
@@ -556,8 +556,9 @@ def o5_round_robin(spark, folder):
 def u1_multipart_csv(spark, folder):
     path = scratch_path(spark, "flights-parts")
     rows = raw_flights(spark, folder)
-    rows.filter(F.col("Year") == 1995).write.csv(f"{path}/part-00000", header=True, nullValue="NA")
-    rows.filter(F.col("Year") > 1995).write.csv(f"{path}/part-00501", header=False, nullValue="NA")
+    first = F.coalesce(F.col("Year") == 1995, F.lit(False))
+    rows.filter(first).write.csv(f"{path}/part-00000", header=True, nullValue="NA")
+    rows.filter(~first).write.csv(f"{path}/part-00501", header=False, nullValue="NA")
     read = files.multipart_csv(spark, f"{path}/part-00000", f"{path}/part-00[5-9][0-9][0-9]")
     return read.withColumn("CRSDepTime", F.col("CRSDepTime").cast("string"))
 

@@ -7,6 +7,8 @@ does not parse yields null; `strict=True` raises instead.
 
 from __future__ import annotations
 
+import re
+
 from functools import reduce
 from operator import and_
 
@@ -87,8 +89,8 @@ def joined(*parts: Column) -> Column:
 
 
 def part_of(c: Column, separator: str, position: int) -> Column:
-    """Zero-based part of a separated text; null when there are fewer parts."""
-    return F.get(F.split(c, separator), F.lit(position))
+    """Zero-based part of a text separated by a literal string; null when there are fewer parts."""
+    return F.get(F.split(c, re.escape(separator)), F.lit(position))
 
 
 def year_of(c: Column) -> Column:

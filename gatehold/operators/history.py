@@ -50,7 +50,8 @@ class VersionedTable:
         if latest is None:
             raise ValueError(f"{self.path} has no version yet")
         schema = StructType.fromJson(json.loads(latest["schema"]))
-        rows = self.spark.read.schema(schema).parquet(latest["data"])
+        # A partitioned folder gives its partition columns last; the table keeps the order it was written with.
+        rows = self.spark.read.schema(schema).parquet(latest["data"]).select(*(f"`{c}`" for c in schema.names))
         for predicate in latest["deleted"]:
             rows = rows.filter(~F.coalesce(F.expr(predicate), F.lit(False)))
         return rows

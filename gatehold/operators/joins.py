@@ -73,12 +73,23 @@ def lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup_join supports inner and left joins")
+    fact, lookup = _common_keys(fact, lookup, keys)
     lookup_bytes = size_in_bytes(lookup) if lookup_bytes is None else lookup_bytes
     if lookup_bytes <= broadcast_bytes:
         return fact.join(F.broadcast(lookup), keys, how).select(*fact.columns, *_others(lookup, keys))
     return salted_join(fact, lookup, keys, how, hot_key_hashes(fact, keys, hot_share), salts)
 
 
+def _common_keys(fact: DataFrame, lookup: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with keys of one type, the wider of the two as Spark's own comparison takes it."""
+    for k in keys:
+        left, right = fact.schema[k].dataType, lookup.schema[k].dataType
+        if left != right:
+            both = fact.select(k).limit(0).union(lookup.select(k).limit(0)).schema[0].dataType
+            fact, lookup = fact.withColumn(k, F.col(k).cast(both)), lookup.withColumn(k, F.col(k).cast(both))
+    return fact, lookup
+
+
 def salted_join(
     fact: DataFrame, lookup: DataFrame, keys: list[str], how: str, hot: list[int], salts: int = SALTS
 ) -> DataFrame:
@@ -89,11 +100,13 @@ def salted_join(
     no_match = reduce(or_, [F.col(k).isNull() for k in keys])
     # The partition id spreads exact copies of a row, which hash alike. Both parts
     # are the same when a lost task is run again.
-    spread = F.pmod(F.pmod(F.xxhash64(*fact.columns), F.lit(salts)) + F.spark_partition_id(), F.lit(salts))
+    hashed = [c for c, kind in fact.dtypes if "map<" not in kind and "variant" not in kind]
+    spread = F.pmod(F.pmod(F.xxhash64(*hashed), F.lit(salts)) + F.spark_partition_id(), F.lit(salts))
     salted_fact = fact.withColumn("__salt", F.when(is_hot | no_match, spread).otherwise(F.lit(0)).cast("int"))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_lookup = lookup.withColumn("__salt", F.explode(copies))
-    joined = salted_fact.join(salted_lookup, [*keys, "__salt"], how)
+    # This plan is for lookups too large to broadcast, whatever Spark estimates.
+    joined = salted_fact.join(salted_lookup.hint("merge"), [*keys, "__salt"], how)
     return joined.select(*fact.columns, *_others(lookup, keys))
 
 

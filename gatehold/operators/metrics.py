@@ -16,10 +16,13 @@ def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction"
 def confusion(
     df: DataFrame, label: str = "label", prediction: str = "prediction", classes: tuple[int, ...] = (0, 1)
 ) -> DataFrame:
-    """One row per (label, prediction) pair with its share of all rows; empty pairs have share 0."""
+    """One row per (label, prediction) pair with its share; empty pairs have share 0.
+
+    Rows with a null or another label or prediction are in no pair, and shares are of the rows that are in one.
+    """
     cells = [(a, p) for a in classes for p in classes]
     counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col(label).isin(*classes) & F.col(prediction).isin(*classes)).alias("total"),
         *[F.count_if((F.col(label) == a) & (F.col(prediction) == p)).alias(f"n_{a}_{p}") for a, p in cells],
     )
     entries = [
@@ -27,7 +30,7 @@ def confusion(
             F.lit(a).alias("label"),
             F.lit(p).alias("prediction"),
             F.col(f"n_{a}_{p}").alias("n"),
-            (F.col(f"n_{a}_{p}") / F.col("total")).alias("share"),
+            F.coalesce(F.try_divide(f"n_{a}_{p}", "total"), F.lit(0.0)).alias("share"),
         )
         for a, p in cells
     ]
@@ -37,10 +40,13 @@ def confusion(
 def _score_totals(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row per distinct score, highest first, with rows and running rows of either label.
 
+    A null or NaN score ranks nowhere: such rows are left out.
+
     Aggregating to distinct scores first handles ties exactly and leaves the
     ordered step one row per score.
     """
-    per_score = df.groupBy((-F.col(score)).alias("falling")).agg(
+    ranked = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    per_score = ranked.groupBy((-F.col(score)).alias("falling")).agg(
         F.count_if(F.col(label) == 1).alias("late"), F.count_if(F.col(label) == 0).alias("on_time")
     )
     return running_totals(

@@ -79,7 +79,7 @@ def optimize_table(spark: SparkSession, name: str, columns: list[str], files: in
     return spark.table(name)
 
 
-def export_csv(df: DataFrame, path: str, files: int = 3) -> None:
+def export_csv(df: DataFrame, path: str, files: int) -> None:
     """CSV with a header line in exactly `files` files (round robin)."""
     df.repartition(files).write.mode("overwrite").csv(path, header=True)
 
@@ -107,7 +107,7 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def to_local(df: DataFrame, max_rows: int = 100_000) -> pd.DataFrame:
+def to_local(df: DataFrame, max_rows: int) -> pd.DataFrame:
     """A small result as a pandas frame; refuses to bring a large one to the driver."""
     frame = df.limit(max_rows + 1).toPandas()
     if len(frame) > max_rows:
@@ -132,7 +132,3 @@ def column_names(df: DataFrame) -> DataFrame:
         for i, c in enumerate(df.columns)
     ]
     return counts.select(F.inline(F.array(*entries)))
-
-
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(column).distinct().orderBy(column)

@@ -32,7 +32,7 @@ def silver(raw: DataFrame, strict: bool = False) -> DataFrame:
         whole("DayofMonth").alias("Day"),
         whole("DayOfWeek").alias("DayOfWeek"),
         C.date_string(whole("Year"), whole("Month"), whole("DayofMonth"), strict).alias("DateString"),
-        C.hour_base10(F.lpad(F.col("CRSDepTime").cast("string"), 4, "0"), strict).alias("decimal_DepTime"),
+        C.hour_base10(F.col("CRSDepTime").cast("string"), strict).alias("decimal_DepTime"),
         F.col("UniqueCarrier"),
         whole("FlightNum").alias("FlightNum"),
         C.or_default(F.col("TailNum"), "N/A").alias("TailNum"),

@@ -121,3 +121,8 @@ def test_sql_functions_agree_with_the_columns(spark):
         C.date_string(F.col("y"), F.col("m"), F.col("d")), C.hour_base10(F.col("t")), C.delay_label(F.col("delay"))
     )
     assert [tuple(r) for r in by_sql.collect()] == [tuple(r) for r in by_column.collect()]
+
+
+def test_part_of_takes_the_separator_literally(spark):
+    assert values(spark, C.part_of(F.col("x"), "|", 1), ["US|WA", "US.WA"]) == ["WA", None]
+    assert values(spark, C.part_of(F.col("x"), ".", 1), ["US|WA", "US.WA"]) == [None, "WA"]

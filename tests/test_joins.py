@@ -81,3 +81,16 @@ def test_size_in_bytes(spark):
     assert joins.size_in_bytes(df.filter("n > 5")) == 0
     nested = spark.createDataFrame([(["x" * 50],)], "a array<string>")
     assert joins.size_in_bytes(nested) > 58
+
+
+@pytest.mark.parametrize("broadcast_bytes", [joins.BROADCAST_BYTES, -1])
+def test_keys_of_different_types_and_columns_without_a_hash(spark, broadcast_bytes):
+    fact = spark.sql("SELECT CAST(id AS bigint) AS key, map('a', id) AS m FROM range(4)")
+    lookup = spark.createDataFrame([(1, "x"), (3, "y")], "key int, w string")
+    found = joins.lookup_join(fact, lookup, ["key"], broadcast_bytes=broadcast_bytes)
+    assert sorted((r["key"], r["m"]["a"], r["w"]) for r in found.collect()) == [(1, 1, "x"), (3, 3, "y")]
+
+
+def test_the_salted_plan_shuffles(spark, hot_fact, lookup):
+    plan = joins.lookup_join(hot_fact, lookup, ["key"], broadcast_bytes=-1)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

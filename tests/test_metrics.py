@@ -51,3 +51,13 @@ def test_one_class_has_no_area(spark):
 def test_mean_fold_accuracy(spark):
     df = spark.createDataFrame([(0, 1, 1), (0, 0, 1), (1, 1, 1)], "fold int, label int, prediction int")
     assert metrics.mean_fold_accuracy(df).first()["mean_accuracy"] == 0.75
+
+
+def test_rows_outside_the_classes_and_scores_that_rank_nowhere(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 0.9), (0, 0, 0.1), (None, 1, 0.5), (2, 0, 0.4), (1, 1, None), (0, 0, float("nan"))],
+        "label int, prediction int, score double",
+    )
+    assert sum(r["share"] for r in metrics.confusion(df).collect()) == 1
+    assert metrics.roc_area(df).first()["auc"] == 1
+    assert max(r["threshold"] or 0 for r in metrics.roc_points(df).collect()) == 0.9
