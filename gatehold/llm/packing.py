@@ -106,9 +106,11 @@ def _fillings(largest: int, counts: np.ndarray, room: int, order: np.ndarray) ->
             size = int(sizes[i])
             if left[size] > 0:
                 deeper = True
-                left[size] -= 1
-                exact = search(int(i), space - size, (*items, size))
-                left[size] += 1
+                # Pieces that are small for the room are taken together, so that a filling of many is a short search.
+                taken = 1 if space < 8 * size else min(int(left[size]), space // size)
+                left[size] -= taken
+                exact = search(int(i), space - taken * size, (*items, *[size] * taken))
+                left[size] += taken
                 if exact or steps < 0:
                     return exact
         if not deeper and undominated(items, space):
