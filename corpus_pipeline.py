@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gatehold.llm import ngram_join, packing, perplexity, quality_rules, suffix_dedup
 from gatehold.llm.columns import fresh, quoted
+from gatehold.llm.storage import Rounds
 from gatehold.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,7 +27,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line-first rules keep, with their whole text."""
     measured = quality_rules.line_first(docs)
-    return measured.filter(quoted(measured.columns[-2])).select(*map(quoted, docs.columns))
+    kept = measured.columns[-2]
+    # Stored before it is filtered: pushed below the measures, the filter would repeat their expressions many times over.
+    judged = Rounds(spark).store(measured.select(*map(quoted, [*docs.columns, kept])), "judged")
+    return judged.filter(quoted(kept)).select(*map(quoted, docs.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
