@@ -57,9 +57,9 @@ class Network:
         w |= {"gate": rng.normal(0, 0.1, (2 * WIDTH, 2 * parts + 1)), "bias": np.repeat([1.0, 0.0, -2.0], [parts, parts, 1])}
         return cls({k: v.astype(np.float32) for k, v in w.items()})
 
-    def embed(self, seq: Sequence, at: np.ndarray) -> np.ndarray:
+    def embed(self, seq: Sequence, entry: np.ndarray | slice = slice(None)) -> np.ndarray:
         w = self.weights
-        return w["first"][seq.first[at]] + w["last"][seq.last[at]] + w["known"][seq.known[at]] + w["part"][seq.part[at]]
+        return w["first"][seq.first[entry]] + w["last"][seq.last[entry]] + w["known"][seq.known[entry]] + w["part"][seq.part[entry]]
 
     def forward(self, x: np.ndarray, before: np.ndarray, usable: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, ...]:
         """(weights of the mixture, probability of a copy, and what the gradient needs) for the last `TARGETS` places.
@@ -107,52 +107,67 @@ class Windows:
 _CAUSAL = np.tril(np.ones((TARGETS, CONTEXT + TARGETS), bool), CONTEXT - 1)
 
 
-def _inputs(network: Network, seq: Sequence, place: np.ndarray, inside: np.ndarray):
-    at = np.where(inside, place, 0)
-    x = network.embed(seq, at) * inside[..., None]
+def _inputs(seq: Sequence, place: np.ndarray, inside: np.ndarray, embedded: np.ndarray | Network):
+    """(entry of each place, and what `forward` needs) from the embeddings of all entries, or a network that makes them."""
+    place = np.where(inside, place, 0)
+    entry, word = seq.entry[place], seq.word[place]
+    x = embedded.embed(seq, entry) if isinstance(embedded, Network) else embedded[entry]
+    x = x * inside[..., None]
     before = np.zeros_like(x)
     before[:, 1:] = x[:, :-1]
     usable = inside[:, None, :] & _CAUSAL
-    same = seq.word[at][:, -TARGETS:, None] == seq.word[at][:, None, :]
-    return at, x, before, usable, same
+    same = word[:, -TARGETS:, None] == word[:, None, :]
+    return entry, x, before, usable, same
 
 
 @dataclass
 class Sequence:
-    """The words of some texts, each followed by an end, with what the network and the mixture know of them."""
+    """The words of some texts, each followed by an end, and what the network and the mixture know of each entry.
 
-    word: np.ndarray
+    An entry is a distinct word, or a place where places with the same word differ in their counts.
+    """
+
+    word: np.ndarray  # number of the distinct word at each place
     rows: np.ndarray
+    entry: np.ndarray  # of each place
     first: np.ndarray
     last: np.ndarray
-    known: np.ndarray
-    part: np.ndarray  # the most likely one of the word alone
-    share: np.ndarray  # of the training words of each part
-    spelt: np.ndarray  # log of the probability under each character model; that of an end is 0
+    spelt: np.ndarray  # log of the probability under each character model; that of an end is -inf
+    known: np.ndarray | None = None
+    part: np.ndarray | None = None  # the most likely one of the word alone
+    share: np.ndarray | None = None  # of the training words of each part
+
+    def __post_init__(self) -> None:
+        top = self.spelt.max(axis=1)
+        self.peak = np.where(np.isfinite(top), top, 0.0)
+        self.spelling = np.exp(self.spelt - self.peak[:, None])  # so that mixtures need no logarithm for each part
 
     def place_counts(self, counts: np.ndarray, totals: np.ndarray) -> None:
-        """Set what follows from the training counts of each place, by part."""
+        """Set what follows from the training counts of each entry, by part."""
         self.share = counts / np.maximum(totals, 1)
         self.known = np.minimum(np.log2(counts.sum(axis=1) + 1).astype(np.int64), 31)
         self.part = np.where(self.known > 0, self.share.argmax(axis=1), self.spelt.argmax(axis=1))
 
+    def by_place(self) -> Sequence:
+        """The same with an entry for each place."""
+        at = self.entry
+        return Sequence(self.word, self.rows, np.arange(len(at)), self.first[at], self.last[at], self.spelt[at])
+
 
 def log_probabilities(network: Network, seq: Sequence, batch: int = 256) -> np.ndarray:
     """Natural log of the probability of each place."""
     windows, out = Windows.over(seq.rows), np.zeros(len(seq.word))
+    embedded, parts = network.embed(seq), seq.share.shape[1]
     for a in range(0, len(windows.place), batch):
         place, inside = windows.place[a : a + batch], windows.inside[a : a + batch]
-        at, x, before, usable, same = _inputs(network, seq, place, inside)
+        entry, x, before, usable, same = _inputs(seq, place, inside, embedded)
         gate, copy, *_ = network.forward(x, before, usable, same)
-        target, scored = at[:, -TARGETS:], inside[:, -TARGETS:]
-        gate = gate.astype(np.float64)
-        parts = seq.share.shape[1]
-        seen = (gate[..., :parts] * seq.share[target]).sum(axis=2) + gate[..., -1] * copy
+        scored = inside[:, -TARGETS:]
+        target, gate = entry[:, -TARGETS:][scored], gate[scored].astype(np.float64)
+        seen = (gate[:, :parts] * seq.share[target]).sum(axis=1) + gate[:, -1] * copy[scored]
+        spelt = (gate[:, parts:-1] * seq.spelling[target]).sum(axis=1)
         with np.errstate(divide="ignore"):
-            value = np.log(seen)
-            for k in range(parts):
-                value = np.logaddexp(value, np.log(gate[..., parts + k]) + seq.spelt[target, k])
-        out[target[scored]] = value[scored]
+            out[place[:, -TARGETS:][scored]] = np.logaddexp(np.log(seen), np.log(spelt) + seq.peak[target])
     return out
 
 
@@ -166,7 +181,7 @@ def train(seq: Sequence, steps: int = STEPS) -> Network:
     for step in range(1, steps + 1):
         pick = rng.integers(0, len(windows.place), BATCH)
         place, inside = windows.place[pick], windows.inside[pick]
-        at, x, before, usable, same = _inputs(network, seq, place, inside)
+        at, x, before, usable, same = _inputs(seq, place, inside, network)
         gate, copy, attention, q, k, inputs = network.forward(x, before, usable, same)
         w = network.weights
         target, scored = at[:, -TARGETS:], inside[:, -TARGETS:].astype(np.float32)
@@ -228,8 +243,9 @@ def _subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, tokenizer:
     text[body] = data[(np.repeat(starts, size) + place - 1)[body]]
     codec = encoder(tokenizer).fast
     ids = np.array(codec.encode_ordinary(text.tobytes().decode()), np.int64)
-    length = np.array([len(codec.decode_single_token_bytes(i)) for i in np.unique(ids).tolist()], np.int64)
-    at = np.cumsum(length[np.searchsorted(np.unique(ids), ids)]) - length[np.searchsorted(np.unique(ids), ids)]
+    distinct, inverse = np.unique(ids, return_inverse=True)
+    length = np.array([len(codec.decode_single_token_bytes(i)) for i in distinct.tolist()], np.int64)[inverse]
+    at = np.cumsum(length) - length
     owner = np.searchsorted(edge, at, side="right") - 1
     first = np.searchsorted(owner, np.arange(len(starts)))
     last = np.searchsorted(owner, np.arange(len(starts)), side="right") - 1
@@ -246,37 +262,30 @@ class Scorer:
     tokenizer: str
 
     def sequence(self, data: np.ndarray, offsets: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[Sequence, np.ndarray]:
-        """(the texts' words, the training count of each), from the ascending words of a block and their counts."""
-        folded = lower(data)
-        starts, ends, rows = word_spans(folded, offsets)
-        hashes = stretch(running(folded), starts, ends)
-        word, out_rows = _word_hashes(hashes, rows)
-        distinct, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        first = last = np.zeros(0, np.int64)
-        spelt = np.zeros((0, len(self.totals)))
-        if len(distinct):
-            first, last = _subwords(folded, starts[index], ends[index], self.tokenizer)
-            grams = Words(data, offsets, True)  # its distinct words are in the order of their hashes too
-            plain = -6.0 * (ends - starts)[index] - 6
-            spelt = np.stack(
-                [grams.per_word(m.log10(grams.grams)) * np.log(10) if m else plain for m in self.spelling], axis=1
-            )
+        """(the texts' words, the training counts of each entry), from the ascending words of a block and their counts.
+
+        Entries are the distinct words in the order of their hashes, and the end as the last.
+        """
+        found = Words(data, offsets, True)
+        n, parts = len(found.hashes), len(self.totals)
+        rows = found.rows + np.arange(len(found.rows))
+        word = np.full(rows[-1], n, np.int32)
         own = np.ones(len(word), bool)
-        own[out_rows[1:] - 1] = False
-        c = np.zeros((len(word), len(self.totals)), np.int64)
+        own[rows[1:] - 1] = False
+        word[own] = found.word
+        first, last = np.zeros((2, n + 1), np.int64)
+        spelt = np.full((n + 1, parts), -np.inf)
+        if n:
+            first[:n], last[:n] = _subwords(lower(data), found.starts, found.ends, self.tokenizer)
+            plain = -6.0 * (found.ends - found.starts) - 6
+            for k, model in enumerate(self.spelling):
+                spelt[:n, k] = found.per_word(model.log10(found.grams)) * np.log(10) if model else plain
+        c = np.zeros((n + 1, parts), np.int64)
         if len(words):
-            at = np.minimum(np.searchsorted(words, word), len(words) - 1)
-            c = counts[at] * (words[at] == word)[:, None]
-
-        def spread(values: np.ndarray, other: float) -> np.ndarray:
-            out = np.full((len(word), *values.shape[1:]), other, values.dtype)
-            out[own] = values[inverse]
-            return out
-
-        nothing = np.zeros(0)
-        seq = Sequence(
-            word, out_rows, spread(first % IDS, 0), spread(last % IDS, 0), nothing, nothing, nothing, spread(spelt, -np.inf)
-        )
+            wanted = np.append(found.hashes, END)
+            at = np.minimum(np.searchsorted(words, wanted), len(words) - 1)
+            c = counts[at] * (words[at] == wanted)[:, None]
+        seq = Sequence(word, rows, word, first % IDS, last % IDS, spelt)
         seq.place_counts(c, self.totals)
         return seq, c
 
@@ -284,11 +293,12 @@ class Scorer:
         """n_tokens, n_known, base_score and score of each text."""
         seq, c = self.sequence(data, offsets, words, counts)
         starts, c = seq.rows[:-1], c.sum(axis=1)
-        base = np.log10((c + 0.5) / (self.totals.sum() + 0.5 * (self.distinct + 1)))
+        base = np.log10((c + 0.5) / (self.totals.sum() + 0.5 * (self.distinct + 1)))[seq.entry]
         # An end that training has not seen, as without any training text, is left to the base.
         value = log_probabilities(self.network, seq) / np.log(10)
         value = np.where(np.isfinite(value), value, base)
-        return [np.diff(seq.rows), np.add.reduceat((c > 0).astype(np.int64), starts), np.add.reduceat(base, starts), np.add.reduceat(value, starts)]
+        known = (c > 0).astype(np.int64)[seq.entry]
+        return [np.diff(seq.rows), *(np.add.reduceat(v, starts) for v in (known, base, value))]
 
 
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,10 +377,10 @@ def _network_sample(docs: DataFrame, counts: DataFrame, scorer: Scorer) -> Seque
     words, n = table.column("word").to_numpy().view(np.uint64), _counts_of(table.column("n"), len(scorer.totals))
     order = np.argsort(words)
     seq, c = scorer.sequence(data, offsets, words[order], n[order])
+    c, seq = c[seq.entry], seq.by_place()
     row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
     # A text outside the training does not have its own words among the counts.
     _, inverse, times = np.unique(np.stack((row.astype(np.uint64), word), 1), axis=0, return_inverse=True, return_counts=True)
-    c = c.copy()
     c[np.arange(len(c)), part[row]] -= np.where(word == END, 0, times[inverse.ravel()])
     seq.place_counts(np.maximum(c, 0), scorer.totals)
     return seq
@@ -427,7 +437,7 @@ def score(
         words, n = words[order], n[order]
         ids = texts.column("doc_id").combine_chunks()
         out = []
-        for first, stop, data, offsets in blocks(texts.column("text"), BLOCK_BYTES // 4):
+        for first, stop, data, offsets in blocks(texts.column("text"), BLOCK_BYTES // 2):
             columns = [ids.slice(first, stop - first), *map(pa.array, shared.value.scores(data, offsets, words, n))]
             out.append(pa.table(columns, [c.split()[0] for c in _SCORES.split(", ")]))
         return pa.concat_tables(out) if out else pa.table({c.split()[0]: pa.array([], pa.float64() if "double" in c else pa.int64()) for c in _SCORES.split(", ")})

@@ -34,8 +34,9 @@ class Words:
         data = lower(data) if fold else data
         starts, ends, self.rows = word_spans(data, offsets)
         hashes = stretch(running(data), starts, ends)
-        _, index, self.word = np.unique(hashes, return_index=True, return_inverse=True)
-        begin, size = starts[index], ends[index] - starts[index]
+        self.hashes, index, self.word = np.unique(hashes, return_index=True, return_inverse=True)
+        self.starts, self.ends = starts[index], ends[index]
+        begin, size = self.starts, self.ends - self.starts
         count = size + 1
         self.grams_of = np.concatenate(([0], np.cumsum(count)))
         at = np.arange(self.grams_of[-1]) - np.repeat(self.grams_of[:-1], count)
