@@ -127,17 +127,19 @@ class Sequence:
     An entry is a distinct word, or a place where places with the same word differ in their counts.
     """
 
-    word: np.ndarray  # number of the distinct word at each place
+    word: np.ndarray  # equal at places with equal words
     rows: np.ndarray
-    entry: np.ndarray  # of each place
     first: np.ndarray
     last: np.ndarray
+    known: np.ndarray
+    part: np.ndarray  # the most likely one of the word alone
+    share: np.ndarray  # of the training words of each part
     spelt: np.ndarray  # log of the probability under each character model; that of an end is -inf
-    known: np.ndarray | None = None
-    part: np.ndarray | None = None  # the most likely one of the word alone
-    share: np.ndarray | None = None  # of the training words of each part
+    entry: np.ndarray | None = None  # of each place; without it, each place is an entry
 
     def __post_init__(self) -> None:
+        if self.entry is None:
+            self.entry = np.arange(len(self.word))
         top = self.spelt.max(axis=1)
         self.peak = np.where(np.isfinite(top), top, 0.0)
         self.spelling = np.exp(self.spelt - self.peak[:, None])  # so that mixtures need no logarithm for each part
@@ -151,7 +153,8 @@ class Sequence:
     def by_place(self) -> Sequence:
         """The same with an entry for each place."""
         at = self.entry
-        return Sequence(self.word, self.rows, np.arange(len(at)), self.first[at], self.last[at], self.spelt[at])
+        values = (v[at] for v in (self.first, self.last, self.known, self.part, self.share, self.spelt))
+        return Sequence(self.word, self.rows, *values)
 
 
 def log_probabilities(network: Network, seq: Sequence, batch: int = 256) -> np.ndarray:
@@ -285,7 +288,8 @@ class Scorer:
             wanted = np.append(found.hashes, END)
             at = np.minimum(np.searchsorted(words, wanted), len(words) - 1)
             c = counts[at] * (words[at] == wanted)[:, None]
-        seq = Sequence(word, rows, word, first % IDS, last % IDS, spelt)
+        nothing = np.zeros(0)
+        seq = Sequence(word, rows, first % IDS, last % IDS, nothing, nothing, nothing, spelt, word)
         seq.place_counts(c, self.totals)
         return seq, c
 
