@@ -21,7 +21,7 @@ from gatehold.operators.layout import zorder
 
 HISTORY = (
     "version long, timestamp timestamp, operation string, parameters string, "
-    "rows_before long, rows_after long, data string, schema string, deleted array<string>"
+    "rows_before long, rows_after long, data string, schema string, partitions array<string>, deleted array<string>"
 )
 
 
@@ -71,7 +71,7 @@ class VersionedTable:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(data)
         rows = self.spark.read.schema(df.schema).parquet(data).count()  # from the parquet footers
-        self._append(before, operation, parameters or {}, rows, data, df.schema.json(), [])
+        self._append(before, operation, parameters or {}, rows, data, df.schema.json(), list(partition_by or []), [])
         return self.read()
 
     def delete(self, predicate: str) -> DataFrame:
@@ -93,20 +93,29 @@ class VersionedTable:
             before["rows_after"] - removed,
             before["data"],
             before["schema"],
+            before["partitions"],
             [*before["deleted"], predicate],
         )
         return self.history().filter(F.col("version") == before["version"] + 1)
 
     def compact(self, partition_by: list[str] | None = None) -> DataFrame:
-        """Rewrite the surviving rows, so that deleted rows are gone from the current files."""
-        return self.overwrite(self.read(), partition_by, "COMPACT")
+        """Rewrite the surviving rows, so that deleted rows are gone from the current files.
+
+        The partitioning stays as it is where none is given.
+        """
+        return self.overwrite(self.read(), self._partitions(partition_by), "COMPACT")
 
     def optimize(self, columns: list[str], files: int, partition_by: list[str] | None = None) -> DataFrame:
-        """Rewrite the rows clustered by `columns`."""
+        """Rewrite the rows clustered by `columns`; the partitioning stays as it is where none is given."""
+        partition_by = self._partitions(partition_by)
         clustered = zorder(self.read(), columns, files, partition_by)
         return self.overwrite(clustered, partition_by, "OPTIMIZE", {"zorder": columns})
 
-    def _append(self, before, operation, parameters, rows_after, data, schema, deleted) -> None:
+    def _partitions(self, given: list[str] | None) -> list[str]:
+        latest = self._latest()
+        return list(latest["partitions"] or []) if given is None and latest else list(given or [])
+
+    def _append(self, before, operation, parameters, rows_after, data, schema, partitions, deleted) -> None:
         row = (
             0 if before is None else before["version"] + 1,
             datetime.datetime.now(datetime.timezone.utc),
@@ -116,6 +125,7 @@ class VersionedTable:
             rows_after,
             data,
             schema,
+            partitions,
             deleted,
         )
         self.spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("append").parquet(f"{self.path}/history")
