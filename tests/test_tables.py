@@ -181,3 +181,15 @@ def test_cleaned_flights_follow_a_delete(spark, raw, tmp_path):
     table.delete("Year = 1987")
     silver = flights.silver(table.read())
     assert [r["year"] for r in reports.yearly_delays(silver).collect()] == [2007, 2008]
+
+
+def test_rewriting_a_versioned_table_keeps_its_partitioning(spark, raw, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.overwrite(raw, ["Year"])
+    table.delete("Year = 1998")
+    for rewrite in (table.compact, lambda: table.optimize(["Month"], files=2)):
+        rewrite()
+        folder = table.history().orderBy(F.desc("version")).first()["data"]
+        assert glob.glob(f"{folder}/Year=*")
+    table.compact(partition_by=[])
+    assert not glob.glob(f"{table.history().orderBy(F.desc('version')).first()['data']}/Year=*")
