@@ -2,9 +2,10 @@
 
 Vectors with equal labels are assigned to their two nearest centroids, so shards overlap. In each shard every vector gets
 a short list of neighbours: candidates from near to far, without those that are much nearer to a neighbour taken before.
-The lists of a vector from its shards are united. Then each shard is searched for all its vectors at once: a beam moves
-greedily from the shard's medoid to the query, and from what it finds the search expands over neighbours within reach of
-the range. Every link is checked in double precision. Equal vectors are one node with a number of copies.
+A tree of nearest pairs joins what the short lists leave apart, such as dense groups of more vectors than a list is
+chosen from. The lists of a vector from its shards are united. Then each shard is searched for all its vectors at once: a
+beam starts at the query's own node and at the shard's medoid, and from what it finds the search expands over neighbours
+within reach of the range. Every link is checked in double precision. Equal vectors are one node with a number of copies.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ OVERLAP = 2  # shards of a vector
 DEGREE = 24  # neighbours of a vector in a shard
 CANDIDATES = 64  # nearest vectors that neighbours are chosen from
 ALPHA = 1.2  # how much nearer to a neighbour a candidate may be before it is left out
+BRANCHES = 8  # neighbours that the tree of a shard hangs on one vector for its own sake, and as many for a sibling's
 BEAM = 32
 MARGIN = 0.06  # the range search also passes vectors so much below the limit
 
@@ -77,6 +79,28 @@ def robust_prune(x: np.ndarray, candidates: np.ndarray, degree: int = DEGREE, al
     return kept
 
 
+def spanning_tree(x: np.ndarray, branches: int = BRANCHES) -> np.ndarray:
+    """The parent of each vector but the first, which has -1, in a tree of nearest pairs (Prim's).
+
+    Vectors that pairs of some cosine or more join are joined by the tree's pairs of that cosine too. Where many have the
+    same nearest one, those behind the first `branches` hang on their siblings, so that no list grows with the shard.
+    """
+    parent, nearest = np.full(len(x), -1, np.int64), np.zeros(len(x), np.int64)
+    best, children = np.full(len(x), -np.inf), [[] for _ in range(len(x))]
+    open_, at = np.ones(len(x), bool), 0
+    for _ in range(len(x) - 1):
+        open_[at] = False
+        cosine = x @ x[at]
+        closer = open_ & (cosine > best)
+        best[closer], nearest[closer] = cosine[closer], at
+        at = int(np.where(open_, best, -np.inf).argmax())
+        siblings = children[nearest[at]]
+        n = len(siblings)
+        parent[at] = nearest[at] if n < branches else siblings[n // branches - 1]
+        siblings.append(at)
+    return parent
+
+
 def _build(table: pa.Table) -> pa.Table:
     """Neighbours of the members of one shard."""
     nodes, x = table.column("node").to_numpy(), _matrix(table.column("vector"))
@@ -98,6 +122,12 @@ def _build(table: pa.Table) -> pa.Table:
         merged[i, : len(row)] = row[np.argsort(-(x[row] @ x[i]), kind="stable")]
     # With the links back, a vector in the middle of many may have too many again.
     full = [robust_prune_one(x, i, row) for i, row in enumerate(merged)]
+    tree: list[list[int]] = [[] for _ in range(n)]
+    for i, p in enumerate(spanning_tree(x).tolist()):
+        if p >= 0:
+            tree[i].append(p)
+            tree[p].append(i)
+    full = [np.union1d(row, np.array(t, np.int64)) for row, t in zip(full, tree)]
     return pa.table({"node": nodes, "neighbours": pa.array([nodes[row].tolist() for row in full], pa.list_(pa.int64()))})
 
 
@@ -122,6 +152,7 @@ def range_search(x: np.ndarray, lists: list[np.ndarray], limit: float) -> np.nda
     score = np.full((n, BEAM), -np.inf)
     done = np.zeros((n, BEAM), bool)
     beam[:, 0], score[:, 0] = medoid, x @ x[medoid]
+    beam[:, 1], score[:, 1] = np.where(query == medoid, -1, query), np.where(query == medoid, -np.inf, 1.0)
     for _ in range(4 * BEAM):
         waiting = np.where(done | (beam < 0), -np.inf, score)
         pick = waiting.argmax(axis=1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 from gatehold.llm import queries, vector_graph
 from tests.llm.conftest import SMALL
@@ -62,3 +63,44 @@ def test_edges_and_small_shards(spark):
     assert all(got[i]["n_links"] <= n for i, (n, _) in want.items())
     assert [(got[i]["n_links"], got[i]["component_id"]) for i in range(400, 407)] == [(0, i) for i in range(400, 407)]
     assert vector_graph.near_duplicates(df.limit(0)).count() == 0
+
+
+def _groups(rng, sizes, single=0, size=64, spread=0.02):
+    """Vectors in groups of near copies around centres that are far from each other, and single ones."""
+    groups = [rng.normal(size=size) + spread * rng.normal(size=(n, size)) * size**0.5 / 2 for n in sizes]
+    return np.concatenate([*groups, rng.normal(size=(single, size))])
+
+
+def _recall(x):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    table = pa.table({"node": np.arange(len(x)), "vector": pa.array(x.tolist())})
+    lists = vector_graph._build(table).column("neighbours").to_pylist()
+    found = vector_graph.range_search(x, [np.array(row, np.int64) for row in lists], 0.93)
+    alike = x @ x.T >= 0.93
+    return len(found) / (alike.sum() - len(x)), max(map(len, lists))
+
+
+def test_groups_of_one_shard_that_share_no_neighbour():
+    rng = np.random.default_rng(7)
+    for sizes, single in (([150, 150], 0), ([80] * 5, 50), ([65, 130, 500], 20), ([300], 300)):
+        recall, _ = _recall(_groups(rng, sizes, single))
+        assert recall >= 0.99
+    # Groups of a group: no vector has one of another group among its nearest.
+    inner = _groups(rng, [1, 1, 1], spread=0.0)[[0] * 3] + 0.12 * rng.normal(size=(3, 64))
+    recall, _ = _recall(np.concatenate([v + 0.01 * rng.normal(size=(100, 64)) for v in inner]))
+    assert recall >= 0.99
+    # A vector with many around it that are nearer to it than to each other.
+    centre = rng.normal(size=64)
+    recall, longest = _recall(np.concatenate([centre[None], centre + 0.25 * rng.normal(size=(400, 64))]))
+    assert recall >= 0.99 and longest < 100
+
+
+def test_groups_in_one_label(spark):
+    rng = np.random.default_rng(8)
+    x = _groups(rng, [65, 90, 150, 300, 500], 200)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = vector_graph.near_duplicates(df)
+    assert vector_graph.audit(df, got, queries=len(rows)) >= 0.99
+    want = brute(rows)
+    assert all(r["component_id"] == want[r["vec_id"]][1] for r in got.collect())
