@@ -63,7 +63,7 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    return sentencepiece_codec.checked(_documents(spark, folder), public_tokenizers.path(PIECES))
+    return sentencepiece_codec.checked(_documents(spark, folder), public_tokenizers.path(PIECES), audited=None)
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

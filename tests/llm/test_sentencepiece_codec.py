@@ -39,3 +39,20 @@ def test_query(spark, documents):
     assert len(rows) == len(texts)
     assert all(r["round_trip"] and r["parity"] in (True, None) for r in rows)
     assert all(r["n_ids"] == len(LIBRARY.encode(texts[r["doc_id"]] or "")) for r in rows)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=40) | st.text(" abéé▁\n\t1.", max_size=60), max_size=4))
+def test_ids_by_word_are_those_of_whole_texts(texts):
+    assert sentencepiece_codec.parity_of(PATH).by_word
+    assert list(sentencepiece_codec.parity_of(PATH).ids(texts)) == [LIBRARY.encode(t) for t in texts]
+
+
+def test_parity_of_every_row(spark, frame):
+    assert all(r["parity"] is True for r in queries.op9_sentencepiece(spark, SMALL).collect())
+    df = frame([(7, "a b"), (None, "a  b "), (3, None), (11, "▁a")])
+    assert {r["parity"] for r in sentencepiece_codec.checked(df.filter("doc_id is null or doc_id < 11"), PATH, None).collect()} == {True}
+    # Texts that the codec and the library take apart in different ways are told.
+    marked = sentencepiece_codec.codec(PATH).encode("▁a", add_special_tokens=False).ids == LIBRARY.encode("▁a")
+    got = {r["doc_id"]: r["parity"] for r in sentencepiece_codec.checked(df, PATH, None).collect()}
+    assert got[11] is marked
