@@ -9,7 +9,6 @@ Inside a task each distinct word of a block, and each distinct n-gram of these w
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ from gatehold.llm.rolling import blocks, lower, running, stretch, word_spans
 from gatehold.llm.storage import Rounds
 
 ORDER = 5
-GRAMS = 30_000  # n-grams of each order and group that a model keeps, the most frequent; bounds what is broadcast
+CHUNKS = 16  # pieces that each array of a model is brought to the driver in
 BLOCK = 2 << 20
 _PAD = 0x20
 
@@ -142,14 +141,13 @@ def _rows(arrays: DataFrame) -> Iterator[tuple[int, str, int, np.ndarray, np.nda
             yield *(batch.column(c)[i].as_py() for c in range(3)), keys, values
 
 
-def estimate(rounds: Rounds, counts: DataFrame, grams: int = GRAMS) -> dict[str, Model]:
-    """A model for each part of (part, gram, n). At most `grams` n-grams of each order and part reach the driver.
+def estimate(rounds: Rounds, counts: DataFrame) -> dict[str, Model]:
+    """A model for each part of (part, gram, n), with all its n-grams and contexts.
 
-    Where there are more, those with the smaller counts are left to the shorter n-grams, whole powers of two at a time.
+    What reaches the driver grows with the distinct n-grams of the language, 16 bytes for each, not with the texts.
     """
     level = rounds.store(counts, f"grams-{ORDER}")
-    models: dict[str, Model] = {}
-    orders = []
+    found: dict[tuple[int, str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
     for order in range(ORDER, 0, -1):
         context = level.withColumn("context", F.shiftright("gram", 8))
         totals = context.groupBy("part", "context").agg(
@@ -159,37 +157,26 @@ def estimate(rounds: Rounds, counts: DataFrame, grams: int = GRAMS) -> dict[str,
         discounts = F.broadcast(_discounts(level))  # a row for each part
         taken = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         seen = context.join(totals.select("part", "context", "total"), ["part", "context"]).join(discounts, "part")
-        seen = seen.select("part", F.col("gram").alias("key"), "n", ((F.col("n") - taken) / F.col("total")).alias("value"))
+        seen = seen.select("part", F.col("gram").alias("key"), ((F.col("n") - taken) / F.col("total")).alias("value"))
         back = totals.join(discounts, "part").select(
-            "part", F.col("context").alias("key"), F.col("total").cast("long").alias("n"),
+            "part", F.col("context").alias("key"),
             ((F.col("k1") * F.col("d1") + F.col("k2") * F.col("d2") + F.col("k3") * F.col("d3")) / F.col("total")).alias("value"),
         )
-        both = seen.withColumn("kind", F.lit(0)).union(back.withColumn("kind", F.lit(1)))
-        both = both.withColumns({"power": F.floor(F.log2("n")).cast("int"), "order": F.lit(order)})
-        orders.append(rounds.store(both, f"model-{order}"))
+        both = seen.withColumn("kind", F.lit(0)).union(back.withColumn("kind", F.lit(1))).withColumn("order", F.lit(order))
+        chunk = F.pmod(F.xxhash64("key"), F.lit(CHUNKS)).alias("chunk")
+        arrays = both.groupBy("order", "part", "kind", chunk).agg(F.collect_list(F.struct("key", "value")).alias("items"))
+        for *of, keys, values in _rows(arrays):
+            found.setdefault(tuple(of), []).append((keys, values))
         if order > 1:
             shorter = level.groupBy("part", F.col("gram").bitwiseAND((1 << 8 * (order - 1)) - 1).alias("gram"))
             level = rounds.store(shorter.agg(F.count(F.lit(1)).alias("n")), f"grams-{order - 1}")
-    model = reduce(DataFrame.union, orders)
-    sizes: dict[tuple, dict[int, int]] = {}
-    for r in model.groupBy("order", "part", "kind", "power").count().collect():  # at most 64 rows for each array
-        sizes.setdefault((r["order"], r["part"], r["kind"]), {})[r["power"]] = r["count"]
-    least = []
-    for key, by_power in sizes.items():
-        kept, power = 0, max(by_power) + 1
-        for k in sorted(by_power, reverse=True):
-            if kept + by_power[k] > grams:
-                break
-            kept, power = kept + by_power[k], k
-        least.append((*key, power))
-    least = model.sparkSession.createDataFrame(least, "order int, part string, kind int, least int")
-    chosen = model.join(F.broadcast(least), ["order", "part", "kind"]).filter("power >= least")
-    arrays = chosen.groupBy("order", "part", "kind").agg(F.sort_array(F.collect_list(F.struct("key", "value"))).alias("items"))
-    found = {(r[0], r[1], r[2]): (r[3], r[4]) for r in _rows(arrays)}
-    for part in {part for _, part, _ in sizes}:
+    models: dict[str, Model] = {}
+    for part in sorted({part for _, part, _ in found}):
         models[part] = Model()
         for order in range(1, ORDER + 1):
             for kind, into in ((0, models[part].seen), (1, models[part].contexts)):
-                into.append(found.get((order, part, kind), (np.zeros(0, np.int64), np.zeros(0))))
-    rounds.drop(*(f"grams-{o}" for o in range(1, ORDER + 1)), *(f"model-{o}" for o in range(1, ORDER + 1)))
+                keys, values = map(np.concatenate, zip(*found[order, part, kind]))
+                by_key = np.argsort(keys)
+                into.append((keys[by_key], values[by_key]))
+    rounds.drop(*(f"grams-{o}" for o in range(1, ORDER + 1)))
     return models

@@ -60,6 +60,20 @@ def test_probabilities(spark, frame):
         assert (10 ** model.log10(codes)).sum() == pytest.approx(1)
 
 
+def test_models_keep_all_ngrams(spark, frame):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(9_000)]
+    df = frame(enumerate(" ".join(words[i : i + 50]) for i in range(0, 9_000, 50))).select(F.lit("x").alias("part"), "text")
+    model = charlm.estimate(Rounds(spark), charlm.count_grams(df, True))["x"]
+    padded = [b" " * 4 + w.encode() + b" " for w in words]
+    grams = {p[i : i + 5] for p in padded for i in range(len(p) - 4)}
+    assert len(grams) > 50_000 and len(model.seen[4][0]) == len(grams)
+    assert len(model.contexts[4][0]) == len({g[:4] for g in grams})
+    for gram in sorted(grams)[::5_000]:
+        codes = np.array([int.from_bytes(gram[:4] + bytes([i]), "big") for i in range(256)])
+        assert (10 ** model.log10(codes)).sum() == pytest.approx(1)
+
+
 def test_language_edges(spark, frame):
     rows = [(i, t) for i, t in enumerate(["the cat and the dog"] * 20 + ["le chat et le chien"] * 20)]
     df = frame(rows).withColumn("lang", F.when(F.col("doc_id") < 20, "en").otherwise("fr"))
