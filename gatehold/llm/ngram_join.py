@@ -221,8 +221,9 @@ def _emit_sets(width: int, j: Fraction):
                 size = np.diff(rows)
                 classes = classes_of(values, row, size)
                 # A text that was there before in this task has no segments to add; one without an id is in no link.
-                new = np.array([not (c in seen or seen.add(c)) for c in np.where(size > 0, classes, 0).tolist()], bool)
-                new &= ids.is_valid().to_numpy(zero_copy_only=False)
+                named = ids.is_valid().to_pylist()
+                known = np.where(size > 0, classes, 0).tolist()
+                new = np.array([has and not (c in seen or seen.add(c)) for has, c in zip(named, known)], bool)
                 segment, owner = _emit_segments(values, rows, new, j)
                 order = np.argsort(owner, kind="stable")
                 ends = np.searchsorted(owner[order], np.arange(stop - first + 1))

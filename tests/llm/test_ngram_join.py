@@ -95,3 +95,11 @@ def test_divide_skip_counts():
 def test_query_on_the_driver_tables(spark, documents):
     rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
     assert sorted(map(tuple, queries.op1_ngram_jaccard_join(spark, SMALL).collect())) == brute(rows)
+
+
+def test_text_first_seen_without_an_id_still_links(frame):
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    df = frame([(None, text), (7, text), (3, near)]).coalesce(1)
+    found = ngram_join.jaccard_components(df).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in found) == [(0, None), (3, 3), (7, 3)]
