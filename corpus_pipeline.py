@@ -34,11 +34,19 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of similar 3-word shingle sets make: the one with the least id."""
-    (first,) = fresh(docs, "__first")
-    found = ngram_join.jaccard_components(docs)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col(first), "left_semi")
+    """One document of each group that links of similar 3-word shingle sets make: the one with the least id.
+
+    Rows without an id are in no group and all stay. Of rows that repeat an id and its text one stays; rows that share an
+    id with other texts are one document of several rows and stay together.
+    """
+    first, rows = fresh(docs, "__first", "__rows")
+    found = ngram_join.jaccard_components(docs).filter("doc_id = component_id")
+    kept = Rounds(spark).store(found.groupBy(F.col("doc_id").alias(first)).agg(F.count(F.lit(1)).alias(rows)), "kept")
+    same = F.col("doc_id") == F.col(first)
+    # Only the few that repeat an id are grouped by their texts.
+    single = docs.join(kept.filter(F.col(rows) == 1), same, "left_semi")
+    repeated = docs.join(kept.filter(F.col(rows) > 1), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.union(repeated).union(docs.filter("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

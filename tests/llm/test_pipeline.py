@@ -88,3 +88,13 @@ def test_edges_of_rules_classifier_and_packing(spark, frame):
     assert packing.packed(frame({}), path).count() == 0
     packed = packing.packed(odd, path).collect()
     assert sum(r["doc_id"] == 1 for r in packed) == 2 and sum(r["length"] for r in packed if r["doc_id"] == 4) > 8000
+
+
+def test_near_copies_keep_rows_without_an_id_and_one_of_repeated_rows(spark, frame):
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(None, "no id"), (None, text), (5, text), (5, text), (8, near), (9, "alone"), (9, "alone"), (2, None)]
+    kept = corpus_pipeline.near_copies(spark, frame(rows), SMALL)
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [
+        (0, "no id"), (0, text), (2, ""), (5, text), (9, "alone")
+    ]
