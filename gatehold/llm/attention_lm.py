@@ -2,8 +2,9 @@
 
 The probability of a word is a mixture: its share of the training words of each language, its probability under a
 character model of each language, and a copy of an earlier word, chosen by attention. The attention and the weights of
-the mixture, so also which language the text seems to be in, come from a small network, trained here in numpy on a bounded sample; counts and the character model are those of all training
-documents. Texts are scored in windows that overlap by their context, each word in one of them, many windows at once.
+the mixture, so also which language the text seems to be in, come from a small network, trained here in numpy: each block
+of texts goes on from the same network over all windows of its training texts, and Spark averages what the blocks end
+with. Counts and the character model are those of all training documents too. Texts are scored in windows that overlap by their context, each word in one of them, many windows at once.
 
 Word counts can grow with the corpus, so no task holds them all: documents are dealt into blocks, the distinct words of a
 block get their counts by a join, and each block meets its own words' counts.
@@ -27,13 +28,12 @@ from gatehold.llm.rolling import blocks, lower, running, stretch, word_spans
 from gatehold.llm.storage import Rounds
 
 BLOCK_BYTES = 8 << 20  # texts that are scored together; a longer text is a block by itself
-SAMPLE_DOCS = 300  # training documents that the network is trained on, about
-SAMPLE_BYTES = 4_000  # bytes of each of them that the network sees; scoring takes whole texts
+WARM = 8  # blocks whose fits are averaged first, for a start that the fits of all blocks then go on from
 CONTEXT = 32  # words before the ones a window scores
 TARGETS = 32  # words that a window scores
 WIDTH = 8  # of the network
 IDS = 1024  # subword ids are hashed to so many embeddings
-STEPS = 400
+STEPS = 400  # of a fit from the start, or more where the windows are more
 BATCH = 64
 RATE = 0.01
 PARTS = 16  # languages with counts of their own, the most frequent; the others have theirs together
@@ -41,12 +41,15 @@ END = np.uint64(0xE4D0F7E87)  # stands for the end of a text among the words
 
 _BLOCKS = "doc_id long, text string, part int, block long"
 _VOCABULARY = "block long, word long, n array<long>"
+_FITS = "windows long, weights array<double>"
 _SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
 @dataclass
 class Network:
     weights: dict[str, np.ndarray]
+    moments: dict[str, list[np.ndarray]] | None = None  # of Adam, while a fit goes on
+    steps: int = 0
 
     @classmethod
     def start(cls, parts: int) -> Network:
@@ -57,6 +60,15 @@ class Network:
         w |= {"gate": rng.normal(0, 0.1, (2 * WIDTH, 2 * parts + 1)), "bias": np.repeat([1.0, 0.0, -2.0], [parts, parts, 1])}
         return cls({k: v.astype(np.float32) for k, v in w.items()})
 
+    def flat(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for v in self.weights.values()]).astype(np.float64)
+
+    def like(self, flat: np.ndarray) -> Network:
+        """A network with the weights of `flat` in the shapes of this one."""
+        edges = np.cumsum([v.size for v in self.weights.values()])[:-1]
+        values = zip(self.weights.items(), np.split(flat.astype(np.float32), edges))
+        return Network({k: v.reshape(old.shape) for (k, old), v in values})
+
     def embed(self, seq: Sequence, entry: np.ndarray | slice = slice(None)) -> np.ndarray:
         w = self.weights
         return w["first"][seq.first[entry]] + w["last"][seq.last[entry]] + w["known"][seq.known[entry]] + w["part"][seq.part[entry]]
@@ -174,15 +186,24 @@ def log_probabilities(network: Network, seq: Sequence, batch: int = 256) -> np.n
     return out
 
 
-def train(seq: Sequence, steps: int = STEPS) -> Network:
-    """A network fitted to the words of `seq` by Adam, on windows in a fixed random order."""
-    network, windows = Network.start(seq.share.shape[1]), Windows.over(seq.rows)
+def train(seq: Sequence, steps: int = STEPS, network: Network | None = None) -> Network:
+    """A network, or `network` itself, fitted to the words of `seq` by Adam, on windows in a fixed random order.
+
+    Every window is taken as often as any other, give or take one, and once at least, whatever `steps` says.
+    """
+    network, windows = network or Network.start(seq.share.shape[1]), Windows.over(seq.rows)
     if not len(windows.place):
         return network
     rng = np.random.default_rng(1)
-    moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in network.weights.items()}
-    for step in range(1, steps + 1):
-        pick = rng.integers(0, len(windows.place), BATCH)
+    steps = max(steps, -(-len(windows.place) // BATCH))
+    turns = -(-steps * BATCH // len(windows.place))
+    picks = np.concatenate([rng.permutation(len(windows.place)) for _ in range(turns)])[: steps * BATCH]
+    if network.moments is None:
+        network.moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in network.weights.items()}
+    moments = network.moments
+    for pick in np.array_split(picks, steps):
+        network.steps += 1
+        step = network.steps
         place, inside = windows.place[pick], windows.inside[pick]
         at, x, before, usable, same = _inputs(seq, place, inside, network)
         gate, copy, attention, q, k, inputs = network.forward(x, before, usable, same)
@@ -293,6 +314,20 @@ class Scorer:
         seq.place_counts(c, self.totals)
         return seq, c
 
+    def training_sequence(
+        self, data: np.ndarray, offsets: np.ndarray, part: np.ndarray, words: np.ndarray, counts: np.ndarray
+    ) -> Sequence:
+        """The same for training texts of the given parts, with the counts that the other training texts give their words."""
+        seq, c = self.sequence(data, offsets, words, counts)
+        end = len(c) - 1
+        c, seq = c[seq.entry], seq.by_place()
+        row = np.repeat(np.arange(len(seq.rows) - 1), np.diff(seq.rows))
+        # A text outside the training does not have its own words among the counts.
+        _, inverse, times = np.unique(row * (end + 1) + seq.word, return_inverse=True, return_counts=True)
+        c[np.arange(len(c)), part[row]] -= np.where(seq.word == end, 0, times[inverse])
+        seq.place_counts(np.maximum(c, 0), self.totals)
+        return seq
+
     def scores(self, data: np.ndarray, offsets: np.ndarray, words: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
         """n_tokens, n_known, base_score and score of each text."""
         seq, c = self.sequence(data, offsets, words, counts)
@@ -361,33 +396,61 @@ def _vocabulary(parts: int):
     return run
 
 
-def _network_sample(docs: DataFrame, counts: DataFrame, scorer: Scorer) -> Sequence | None:
-    """A bounded sample of training texts with the counts that the other training texts give their words."""
-    chosen = docs.filter("part >= 0 and length(text) > 0")
-    share = min(1.0, SAMPLE_DOCS / max(1, chosen.count()))
-    chosen = chosen.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = chosen.select(F.substring("text", 1, SAMPLE_BYTES), "part").collect()  # about SAMPLE_DOCS of them
-    if not found:
-        return None
-    texts, part = [r[0] for r in found], np.array([r[1] for r in found])
-    column = pa.array(texts)
-    _, _, data, offsets = next(blocks(column, 1 << 40))
-    folded = lower(data)
-    starts, ends, rows = word_spans(folded, offsets)
-    word, rows = _word_hashes(stretch(running(folded), starts, ends), rows)
-    asked = np.unique(word)
-    frame = docs.sparkSession.createDataFrame(pa.table({"word": asked.view(np.int64)}))
-    table = counts.join(F.broadcast(frame), "word").select("word", "n").toArrow()
-    words, n = table.column("word").to_numpy().view(np.uint64), _counts_of(table.column("n"), len(scorer.totals))
+def _by_word(counted: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a block, ascending, and their counts."""
+    words, n = counted.column("word").to_numpy().view(np.uint64), _counts_of(counted.column("n"), parts)
     order = np.argsort(words)
-    seq, c = scorer.sequence(data, offsets, words[order], n[order])
-    c, seq = c[seq.entry], seq.by_place()
-    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    # A text outside the training does not have its own words among the counts.
-    _, inverse, times = np.unique(np.stack((row.astype(np.uint64), word), 1), axis=0, return_inverse=True, return_counts=True)
-    c[np.arange(len(c)), part[row]] -= np.where(word == END, 0, times[inverse.ravel()])
-    seq.place_counts(np.maximum(c, 0), scorer.totals)
-    return seq
+    return words[order], n[order]
+
+
+def _sum_fits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the sums over the fits of a task, each times its windows."""
+    windows, total = 0, None
+    for batch in batches:
+        for n, weights in zip(batch.column(0).to_pylist(), batch.column(1)):
+            own = n * weights.values.to_numpy()
+            windows, total = windows + n, own if total is None else total + own
+    if windows:
+        yield pa.RecordBatch.from_arrays([pa.array([windows]), pa.array([total], pa.list_(pa.float64()))], ["windows", "weights"])
+
+
+def fit_network(texts: DataFrame, with_counts: DataFrame, scorer: Scorer) -> tuple[Network, int]:
+    """(the network fitted to all training texts of the blocks, the number of their windows).
+
+    Each block fits to every window of its training texts; the mean of the fits weighs them by their windows.
+    """
+    context, parts = texts.sparkSession.sparkContext, len(scorer.totals)
+    texts = texts.filter("part >= 0")
+    shared = context.broadcast(scorer)
+
+    def mean_of(texts: DataFrame, counts: DataFrame, start: Network, steps: int) -> tuple[Network, int]:
+        def run(texts: pa.Table, counted: pa.Table) -> pa.Table:
+            if not len(texts):
+                return pa.table({"windows": pa.array([], pa.int64()), "weights": pa.array([], pa.list_(pa.float64()))})
+            words, n = _by_word(counted, parts)
+            part = texts.column("part").to_numpy()
+            network, windows = start.like(start.flat()), 0
+            for first, stop, data, offsets in blocks(texts.column("text"), BLOCK_BYTES // 8):
+                seq = shared.value.training_sequence(data, offsets, part[first:stop], words, n)
+                share = -(-steps * (stop - first) // len(texts))
+                network = train(seq, share, network)
+                windows += len(Windows.over(seq.rows).place)
+            return pa.table({"windows": [windows], "weights": pa.array([network.flat()], pa.list_(pa.float64()))})
+
+        fits = texts.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(run, _FITS)
+        sums = fits.mapInArrow(_sum_fits, _FITS).toArrow()  # a row for each task
+        windows = sum(sums.column("windows").to_pylist())
+        if not windows:
+            return start, 0
+        total = np.sum([w.values.to_numpy() for w in sums.column("weights")], axis=0)
+        return start.like(total / windows), windows
+
+    first = [r["block"] for r in texts.select("block").distinct().orderBy(F.xxhash64("block")).limit(WARM).collect()]
+    own = F.col("block").isin(first)
+    network, _ = mean_of(texts.filter(own), with_counts.filter(own), Network.start(parts), STEPS)
+    network, windows = mean_of(texts, with_counts, network, 0)
+    shared.unpersist()
+    return network, windows
 
 
 def score(
@@ -429,16 +492,13 @@ def score(
     with_counts = rounds.store(with_counts, "block-counts")
     spelling = estimate(rounds, count_grams(dealt.filter("part >= 0").select(F.col("part").cast("string").alias("part"), "text"), fold=True))
     scorer = Scorer([spelling.get(str(k)) for k in range(parts)], None, np.array(sums[1:], np.int64), sums[0], tokenizer)
-    sample = _network_sample(dealt, counts, scorer)
-    scorer.network = Network.start(parts) if sample is None else train(sample)
+    scorer.network, _ = fit_network(dealt, with_counts, scorer)
     del vocabulary, counts
     rounds.drop("vocabulary", "counts")
     shared = docs.sparkSession.sparkContext.broadcast(scorer)  # bounded by the n-grams of the character model
 
     def run(texts: pa.Table, counted: pa.Table) -> pa.Table:
-        words, n = counted.column("word").to_numpy().view(np.uint64), _counts_of(counted.column("n"), parts)
-        order = np.argsort(words)
-        words, n = words[order], n[order]
+        words, n = _by_word(counted, parts)
         ids = texts.column("doc_id").combine_chunks()
         out = []
         for first, stop, data, offsets in blocks(texts.column("text"), BLOCK_BYTES // 2):

@@ -82,3 +82,15 @@ def test_training_learns_to_copy():
     seq = _sequence(words, np.arange(0, 3001, 100), 500)
     before = attention_lm.log_probabilities(attention_lm.Network.start(1), seq).mean()
     assert attention_lm.log_probabilities(attention_lm.train(seq), seq).mean() > before + 1
+
+
+def test_network_is_trained_on_all_windows_of_all_training_texts(frame, monkeypatch):
+    found, fit = [], attention_lm.fit_network
+    monkeypatch.setattr(attention_lm, "fit_network", lambda *a: found.append(fit(*a)) or found[-1])
+    texts = [(i, "a b c") for i in range(400)] + [(400, "word " * 3_200), (401, None)]
+    for tail in ("x y z", "y " * 6_000):
+        rows = [*texts, (402, "start " * 1_000 + tail), (500, "held out " * 1_000)]
+        assert attention_lm.score(frame(rows), F.col("doc_id") < 500, BPE).count() == len(rows)
+    windows = lambda n: -(-(n + 1) // attention_lm.TARGETS)
+    assert [n for _, n in found] == [401 + windows(3_200) + windows(1_000 + k) for k in (3, 6_000)]
+    assert not np.allclose(found[0][0].flat(), found[1][0].flat())
