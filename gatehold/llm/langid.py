@@ -75,3 +75,25 @@ def rejection_limit(predicted: DataFrame, share: float = REJECTED) -> float:
     """The score below which lies `share` of the rightly predicted rows (lang, lang_pred, score); 0 without such rows."""
     right = predicted.filter(F.col("lang") == F.col("lang_pred"))
     return right.agg(F.percentile_approx("score", share, 1000)).first()[0] or 0.0
+
+
+def entropy_limits(predicted: DataFrame, share: float = REJECTED) -> dict[str, float]:
+    """The cross-entropy above which lies `share` of the rightly predicted rows of each language."""
+    right = predicted.filter(F.col("lang") == F.col("lang_pred"))
+    limits = right.groupBy("lang").agg(F.percentile_approx("cross_entropy", 1 - share, 1000).alias("limit"))
+    return {r["lang"]: r["limit"] for r in limits.collect() if r["limit"] is not None}
+
+
+def rejecting(predicted: DataFrame, calibration: DataFrame, share: float = REJECTED) -> DataFrame:
+    """`predicted`, as `predict` returns it, with rejected: whether the text is likely in no language that was learned.
+
+    Limits come from `calibration`, held-out rows (lang, lang_pred, score, cross_entropy), half of `share` for each: a
+    score below its limit, or a cross-entropy above that of the predicted language, rejects, as does `und`. A language
+    without held-out rows has no limit for its cross-entropy. Acts at once on `calibration`.
+    """
+    least, most = rejection_limit(calibration, share / 2), entropy_limits(calibration, share / 2)
+    far = F.lit(False)
+    for lang, limit in sorted(most.items()):
+        far = far | ((F.col("lang_pred") == lang) & (F.col("cross_entropy") > limit))
+    rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least) | F.coalesce(far, F.lit(False))
+    return predicted.withColumn("rejected", rejected)

@@ -11,6 +11,7 @@ from gatehold.llm import (
     attention_lm, langid, ngram_join, oracle, packing, paragraphs, perplexity, quality_rules, sentencepiece_codec,
     suffix_dedup, vector_graph,
 )
+from gatehold.llm.storage import Rounds
 
 BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -44,8 +45,12 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
     training = docs.filter(~langid.held_out("doc_id", 0))
-    predicted = langid.predict(docs.select("doc_id", "text"), langid.fit(training))
-    return predicted.select("doc_id", langid.held_out("doc_id", 0).alias("held_out"), "lang_pred", "score", "cross_entropy")
+    models = langid.fit(training)
+    calibration = docs.filter(langid.held_out("doc_id", 0) & F.col("lang").isNotNull()).select("lang", "text")
+    predicted = langid.predict(docs.select("doc_id", "text"), models)
+    predicted = langid.rejecting(predicted, Rounds(spark).store(langid.predict(calibration, models).drop("text"), "calibration"))
+    held_out = langid.held_out("doc_id", 0).alias("held_out")
+    return predicted.select("doc_id", held_out, "lang_pred", "rejected", "score", "cross_entropy")
 
 
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:

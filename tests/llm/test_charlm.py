@@ -93,3 +93,14 @@ def test_query_is_right_on_held_out_rows(spark, documents):
     assert len(got) == documents.count()
     judged = [r for r in got if r["held_out"] and r["lang"]]
     assert judged and sum(r["lang"] == r["lang_pred"] for r in judged) >= 0.95 * len(judged)
+
+
+def test_texts_of_other_languages_are_rejected(spark, frame, documents):
+    got = queries.op5_language_id(spark, SMALL).join(documents.select("doc_id", "lang"), "doc_id").collect()
+    judged = [r for r in got if r["held_out"] and r["lang"]]
+    assert sum(r["rejected"] for r in judged) <= 0.1 * len(judged)
+    models = langid.fit(documents)
+    calibration = langid.predict(documents.filter("lang is not null").select("lang", "text"), models)
+    other = frame({1: "zażółć gęślą jaźń " * 5, 2: "съешь же ещё этих мягких французских булок " * 3, 3: None})
+    found = {r["doc_id"]: r for r in langid.rejecting(langid.predict(other, models), calibration).collect()}
+    assert [found[i]["rejected"] for i in (1, 2, 3)] == [True] * 3 and found[1]["lang_pred"] in models
