@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatehold.llm import (
-    attention_lm, langid, ngram_join, oracle, packing, paragraphs, perplexity, quality_rules, sentencepiece_codec,
-    suffix_dedup, vector_graph,
+    attention_lm, fill_middle, langid, ngram_join, oracle, packing, paragraphs, perplexity, quality_rules,
+    sentencepiece_codec, suffix_dedup, token_counts, vector_codes, vector_graph,
 )
 from gatehold.llm.storage import Rounds
 
 BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,11 +78,30 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.counted(_documents(spark, folder), public_tokenizers.path(WORDS))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fill_middle.fill_in_middle(_documents(spark, folder))
+    digests = {
+        "output_sha256": F.sha2(F.col("output").cast("binary"), 256),
+        "restored_sha256": F.sha2(fill_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256),
+    }
+    return cut.withColumns(digests).drop("output")
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vector_codes.compressed(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return coded.drop("label").withColumn("codebooks_sha256", F.lit(vector_codes.digest(books)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_lm_scoring, op3_embedding_near_dedup, op4_substring_dedup, op5_language_id, op6_best_fit_packing,
-        op7_quality_classifier, op8_suffix_array_dedup, op9_sentencepiece, op10_quality_rules,
+        op7_quality_classifier, op8_suffix_array_dedup, op9_sentencepiece, op10_quality_rules, op11_token_counts,
+        op12_fill_in_middle, op13_vector_codes,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
