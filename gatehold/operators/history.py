@@ -1,4 +1,4 @@
-"""A table kept as immutable parquet snapshots with a change history.
+"""A table kept as parquet snapshots with a change history.
 
 `<path>/data/<uuid>` holds the rows of a snapshot, `<path>/history` one row per
 change. A change becomes visible when its history row is appended, after its
@@ -11,13 +11,17 @@ from __future__ import annotations
 import datetime
 import json
 import uuid
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gatehold.functions.names import quoted
 from gatehold.operators.layout import zorder
+from gatehold.session import staged
 
 HISTORY = (
     "version long, timestamp timestamp, operation string, parameters string, "
@@ -25,6 +29,11 @@ HISTORY = (
 )
 
 
+def _matches(predicates: list[str]) -> Column:
+    """Whether one of the SQL conditions is true; an unknown one is not."""
+    return reduce(or_, [F.coalesce(F.expr(p), F.lit(False)) for p in predicates])
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -49,13 +58,20 @@ class VersionedTable:
         latest = self._latest()
         if latest is None:
             raise ValueError(f"{self.path} has no version yet")
-        schema = StructType.fromJson(json.loads(latest["schema"]))
+        rows = self._written(latest)
         # A partitioned folder gives its partition columns last; the table keeps the order it was written with.
-        rows = self.spark.read.schema(schema).parquet(latest["data"]).select(*(f"`{c}`" for c in schema.names))
+        rows = rows.select(*map(quoted, self._schema(latest).names))
         for predicate in latest["deleted"]:
-            rows = rows.filter(~F.coalesce(F.expr(predicate), F.lit(False)))
+            rows = rows.filter(~_matches([predicate]))
         return rows
 
+    def _schema(self, version: Row) -> StructType:
+        return StructType.fromJson(json.loads(version["schema"]))
+
+    def _written(self, version: Row) -> DataFrame:
+        """The rows in the files of a version, deleted ones included."""
+        return self.spark.read.schema(self._schema(version)).parquet(version["data"])
+
     def overwrite(
         self,
         df: DataFrame,
@@ -66,11 +82,12 @@ class VersionedTable:
         """Publish `df` as the next version. `df` may come from this table."""
         data = f"{self.path}/data/{uuid.uuid4().hex}"
         before = self._latest()
-        writer = df.write
+        seen = Observation()  # the rows are counted while they are written
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(data)
-        rows = self.spark.read.schema(df.schema).parquet(data).count()  # from the parquet footers
+        rows = seen.get["rows"]
         self._append(before, operation, parameters or {}, rows, data, df.schema.json(), list(partition_by or []), [])
         return self.read()
 
@@ -99,13 +116,54 @@ class VersionedTable:
         return self.history().filter(F.col("version") == before["version"] + 1)
 
     def compact(self, partition_by: list[str] | None = None) -> DataFrame:
-        """Rewrite the surviving rows, so that deleted rows are gone from the current files.
+        """Take deleted rows out of the current files. The partitioning stays as it is where none is given.
 
-        The partitioning stays as it is where none is given.
+        Of a partitioned table only the partitions that hold deleted rows are written again, in place; the files of the
+        others keep their names. If the job dies in between, the conditions of the deletes still hold for old and new
+        files, and it can be run again. Frames that were made before must not be read afterwards.
         """
-        return self.overwrite(self.read(), self._partitions(partition_by), "COMPACT")
+        latest = self._latest()
+        partitions = self._partitions(partition_by)
+        if latest is None or not partitions or partitions != list(latest["partitions"] or []):
+            return self.overwrite(self.read(), partitions, "COMPACT")
+        if latest["deleted"]:
+            rewritten = self._rewrite_touched(latest, partitions)
+        else:
+            rewritten = 0
+        parameters = {"rewritten_partitions": rewritten}
+        self._append(
+            latest, "COMPACT", parameters, latest["rows_after"], latest["data"], latest["schema"], partitions, []
+        )
+        return self.read()
 
-    def optimize(self, columns: list[str], files: int, partition_by: list[str] | None = None) -> DataFrame:
+    def _rewrite_touched(self, latest: Row, partitions: list[str]) -> int:
+        """Write the partitions again that hold rows of `latest` that were deleted; their number."""
+        rows, gone = self._written(latest), _matches(latest["deleted"])
+        place = F.regexp_replace(rows.metadataColumn("_metadata")["file_path"], "/[^/]*$", "")
+        touched = (
+            rows.groupBy(place.alias("folder"), *[quoted(p).alias(f"value_{i}") for i, p in enumerate(partitions)])
+            .agg(F.count_if(gone).alias("gone"), F.count_if(~gone).alias("kept"))
+            .filter("gone > 0")
+            .select(
+                "kept",
+                F.url_decode(F.replace("folder", F.lit("+"), F.lit("%2B"))).alias("folder"),
+                F.struct(*[f"value_{i}" for i in range(len(partitions))]).alias("values"),
+            )
+        )
+        touched = staged(touched, "touched")
+        for r in touched.filter("kept = 0").select("folder").collect():  # one row per emptied partition
+            left = [f for f in self._schema(latest).fields if f.name not in partitions]
+            self.spark.createDataFrame([], StructType(left)).write.mode("overwrite").parquet(r["folder"])
+        some = F.broadcast(touched.filter("kept > 0").select("values"))  # no more rows than partitions
+        same = [quoted(p).eqNullSafe(F.col("values")[f"value_{i}"]) for i, p in enumerate(partitions)]
+        condition = reduce(and_, same)
+        # Stored apart first: the folder that is written must not be read by the same job.
+        survivors = staged(rows.join(some, condition, "left_semi").filter(~gone), "survivors")
+        writer = survivors.hint("rebalance", *map(quoted, partitions)).write.mode("overwrite").partitionBy(*partitions)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(latest["data"])
+        return touched.count()
+
+    def optimize(self, columns: list[str], files: int | None = None, partition_by: list[str] | None = None) -> DataFrame:
         """Rewrite the rows clustered by `columns`; the partitioning stays as it is where none is given."""
         partition_by = self._partitions(partition_by)
         clustered = zorder(self.read(), columns, files, partition_by)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from gatehold.operators.ordered import running_totals
+from gatehold.operators.ordered import BUCKET_ROWS, running_totals
 from gatehold.session import staged
 
 
@@ -37,8 +37,8 @@ def confusion(
     return counts.select(F.inline(F.array(*entries)))
 
 
-def _score_totals(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row per distinct score, highest first, with rows and running rows of either label.
+def _score_totals(df: DataFrame, label: str, score: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """One row per distinct score, highest first, with rows, running rows and all rows of either label.
 
     A null or NaN score ranks nowhere: such rows are left out.
 
@@ -49,19 +49,19 @@ def _score_totals(df: DataFrame, label: str, score: str) -> DataFrame:
     per_score = ranked.groupBy((-F.col(score)).alias("falling")).agg(
         F.count_if(F.col(label) == 1).alias("late"), F.count_if(F.col(label) == 0).alias("on_time")
     )
-    return running_totals(
-        staged(per_score, "scores"), "falling", {"late_so_far": F.col("late"), "on_time_so_far": F.col("on_time")}
-    )
+    seen = Observation()
+    stored = staged(per_score.observe(seen, F.count(F.lit(1)).alias("rows")), "scores")
+    so_far = {"late_so_far": F.col("late"), "on_time_so_far": F.col("on_time")}
+    overall = {"late_so_far": "all_late", "on_time_so_far": "all_on_time"}
+    return running_totals(stored, "falling", so_far, overall, bucket_rows, seen.get["rows"])
 
 
-def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def roc_points(df: DataFrame, label: str = "label", score: str = "score", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, and the start (null, 0, 0)."""
-    totals = staged(_score_totals(df, label, score), "score-totals")
-    all_rows = totals.agg(F.sum("late").alias("late"), F.sum("on_time").alias("on_time")).first()
-    points = totals.select(
+    points = _score_totals(df, label, score, bucket_rows).select(
         (-F.col("falling")).alias("threshold"),
-        F.try_divide("on_time_so_far", F.lit(all_rows["on_time"])).alias("fpr"),
-        F.try_divide("late_so_far", F.lit(all_rows["late"])).alias("tpr"),
+        F.try_divide("on_time_so_far", "all_on_time").alias("fpr"),
+        F.try_divide("late_so_far", "all_late").alias("tpr"),
     )
     start = df.sparkSession.createDataFrame([(None, 0.0, 0.0)], points.schema)
     return start.union(points)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from gatehold.functions.names import quoted
 from gatehold.operators.layout import zorder
 
 
@@ -21,9 +23,47 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
+def _publish(spark: SparkSession, writer: DataFrameWriter, name: str, properties: dict[str, str] | None = None) -> DataFrame:
+    """Write a new table and put it in the place of `name`.
+
+    The rows are written under a new name; only then is the old table renamed away, the new one renamed in and the old one
+    dropped. A job that fails before leaves the table as it was, and one that dies between the renames leaves both tables
+    whole under names that begin with this one's. Where the catalog moves folders by copying, so do the renames.
+    """
+    new, old = (f"{name}__{kind}_{uuid.uuid4().hex[:12]}" for kind in ("new", "old"))
+    try:
+        writer.saveAsTable(new)
+        for key, value in (properties or {}).items():
+            literals = [x.replace("\\", "\\\\").replace("'", "\\'") for x in (key, value)]
+            spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ('{literals[0]}' = '{literals[1]}')")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    replaced = spark.catalog.tableExists(name)
+    if replaced:
+        _rename(spark, name, old)
+    try:
+        _rename(spark, new, name)
+    except BaseException:
+        if replaced:
+            _rename(spark, old, name)
+        raise
+    if replaced:
+        spark.sql(f"DROP TABLE {old}")
+    return spark.table(name)
+
+
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    """Rename a table, and let its partitions follow: some catalogs still have them where they were, and would delete
+    what lies there when the table is dropped."""
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+    if any(c.isPartition for c in spark.catalog.listColumns(to)):
+        spark.sql(f"MSCK REPAIR TABLE {to} SYNC PARTITIONS")
+
+
 def overwrite_table(df: DataFrame, name: str) -> DataFrame:
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Replace a table, or make it; it stays as it was if the job fails. `df` may read the table itself."""
+    return _publish(df.sparkSession, df.write.format("parquet"), name)
 
 
 def create_table(df: DataFrame, name: str) -> DataFrame:
@@ -37,46 +77,54 @@ def replace_table(
 ) -> DataFrame:
     """Replace a table by the rows of `df`, optionally partitioned, rows sorted inside each file.
 
-    `df` must not read the table itself; Spark refuses that.
+    The table stays as it was if the job fails. `df` may read the table itself; the result reads the new one.
 
     The REBALANCE hint gathers each partition value and lets adaptive execution
     cut a large value into several files and merge small ones; unlike a global
     sort it does not evaluate the input twice to find range bounds.
     """
     partition_by, order_by = list(partition_by or []), list(order_by or [])
-    laid_out = df.hint("rebalance", *partition_by) if partition_by else df
+    laid_out = df.hint("rebalance", *map(quoted, partition_by)) if partition_by else df
     if partition_by or order_by:
-        laid_out = laid_out.sortWithinPartitions(*partition_by, *order_by)
-    writer = laid_out.write.mode("overwrite").format("parquet")
+        laid_out = laid_out.sortWithinPartitions(*map(quoted, [*partition_by, *order_by]))
+    writer = laid_out.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    return _publish(df.sparkSession, writer, name)
 
 
 def copy_table(spark: SparkSession, source: str, target: str, partition_by: list[str] | None = None) -> DataFrame:
     return replace_table(spark.table(source), target, partition_by)
 
 
-def optimize_table(spark: SparkSession, name: str, columns: list[str], files: int, path: str) -> DataFrame:
-    """Rewrite a table clustered by `columns` to the new folder `path`, keeping its partitioning.
+def _description(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the catalog says of a table as a whole, a few rows."""
+    rows = spark.sql(f"DESCRIBE EXTENDED {name}").collect()
+    start = [r["col_name"] for r in rows].index("# Detailed Table Information")
+    return {r["col_name"]: r["data_type"] for r in rows[start + 1 :]}
+
 
-    The table is pointed to the new folder only when all rows are there; if the
-    job dies before that, it is as it was.
+def optimize_table(
+    spark: SparkSession, name: str, columns: list[str], files: int | None = None, path: str | None = None
+) -> DataFrame:
+    """Rewrite a table clustered by `columns`, keeping its partitioning, properties and comment.
+
+    Without `files` there are as many as the bytes of its values ask for. A managed table stays managed unless `path` is
+    given; a table with a folder of its own needs a new folder there. If the job dies, the table is as it was.
     """
     before = spark.table(name)
+    if path is None and _description(spark, name).get("Type") == "EXTERNAL":
+        raise ValueError(f"{name} has a folder of its own: give the path of a new one")
     partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    writer = zorder(before, columns, files, partition_by).write
+    stored = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    properties = {k: v for k, v in stored.items() if not k.startswith(("spark.sql.", "transient_"))}
+    comment = spark.catalog.getTable(name).description
+    writer = zorder(before, columns, files, partition_by).write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    schema = ", ".join(f"`{c}` {t}" for c, t in before.dtypes)
-    partitioned = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet {partitioned} LOCATION '{path}'")
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
-    return spark.table(name)
+    if path:
+        writer = writer.option("path", path)
+    return _publish(spark, writer, name, properties | ({"comment": comment} if comment else {}))
 
 
 def export_csv(df: DataFrame, path: str, files: int) -> None:

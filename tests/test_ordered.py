@@ -13,20 +13,24 @@ _SETTINGS = settings(max_examples=6, deadline=None)
 
 
 def test_bucket_is_the_number_of_cut_points_not_above(spark):
-    cuts = {"x": [3, 5, 9, 20, 21], "t": ["b", "m"]}
-    data = [(i, "abcmz"[i % 5]) for i in range(25)] + [(None, None)]
-    df = spark.createDataFrame(data, "x int, t string")
-    got = ordered.with_bucket(df, cuts, bits=3).collect()
-    for r in got:
-        assert r["x__bucket"] == (0 if r["x"] is None else bisect.bisect_right(cuts["x"], r["x"]))
-        assert r["t__bucket"] == (0 if r["t"] is None else bisect.bisect_right(cuts["t"], r["t"]))
-
-
-def test_cut_points_are_sorted_and_limited(spark):
-    df = spark.range(1000).select((F.col("id") % 500).alias("x"))
-    cuts = ordered.cut_points(df, ["x"], bits=4)["x"]
-    assert cuts == sorted(set(cuts)) and 1 <= len(cuts) <= 15
-    assert ordered.cut_points(df.filter("x < 0"), ["x"], bits=4) == {"x": []}
+    points = [3.0, 5.0, 9.0, 20.0, 21.0]
+    df = spark.createDataFrame([(float(i),) for i in range(25)] + [(None,)], "x double")
+    for r in layout.with_buckets(df, {"b": F.col("x"), "none": F.col("x")}, {"b": points, "none": []}, bits=3).collect():
+        assert r["b"] == (0 if r["x"] is None else bisect.bisect_right(points, r["x"])) and r["none"] == 0
+
+
+def test_quantiles_cut_columns_of_all_kinds_evenly(spark):
+    df = spark.range(4096).selectExpr(
+        "id AS a", "concat('Customer#', lpad(id, 9, '0')) AS b", "date_add(date'2000-01-01', cast(id AS int)) AS c",
+        "timestamp_micros(id * 1000003) AS d", "cast(id AS decimal(12, 2)) AS e", "cast(null AS string) AS f",
+    )
+    numbers, points, size, rows = layout.ranks(df, df.columns, bits=4)
+    assert rows == 4096 and size > 4096 * 6 * 8 and points["f"] == []
+    for c in "acde":
+        buckets = layout.with_buckets(df, {"k": numbers[c]}, {"k": points[c]}, 4).groupBy("k").count().collect()
+        assert len(buckets) == 16 and max(r["count"] for r in buckets) < 300
+    order = df.select(numbers["b"].alias("n"), "b").orderBy("b").collect()
+    assert [r["n"] for r in order] == sorted(r["n"] for r in order)
 
 
 @given(st.lists(st.integers(-1000, 1000), unique=True, min_size=1, max_size=60))
@@ -34,19 +38,69 @@ def test_cut_points_are_sorted_and_limited(spark):
 def test_running_totals_property(spark, keys):
     weights = {k: abs(k) % 7 for k in keys}
     df = spark.createDataFrame(list(weights.items()), "k int, w int").repartition(3)
-    got = ordered.running_totals(df, "k", {"total": F.col("w"), "rank": F.lit(1)}, bits=3)
+    totals = {"total": F.col("w"), "rank": F.lit(1)}
+    got = ordered.running_totals(df, "k", totals, {"rank": "rows"}, bucket_rows=8)
     total, expected = 0, []
     for rank, k in enumerate(sorted(weights), start=1):
         total += weights[k]
-        expected.append((k, weights[k], total, rank))
+        expected.append((k, weights[k], total, rank, len(keys)))
     assert sorted(tuple(r) for r in got.collect()) == expected
 
 
+def test_buckets_follow_the_rows(spark):
+    """Ten times the keys make ten times the buckets, of which no one is much larger than asked for."""
+    for n in (1_000, 10_000):
+        got = ordered.running_totals(spark.range(n).withColumn("v", F.lit(1)), "id", {"rank": F.col("v")}, bucket_rows=100)
+        dealt = got.inputFiles()
+        sizes = [r["count"] for r in spark.read.parquet(*dealt).groupBy("__bucket").count().collect()]
+        assert n / 100 * 0.9 <= len(sizes) <= n / 100 and max(sizes) < 300
+        assert got.filter("rank <> id + 1").count() == 0
+
+
 def test_running_totals_do_not_need_one_task(spark):
     plan = ordered.running_totals(spark.range(1000), "id", {"rank": F.lit(1)})._jdf.queryExecution().executedPlan()
     # The only single-partition window runs over the bucket sums, not the rows.
     text = plan.toString()
-    assert text.count("SinglePartition") == 1 and "hashpartitioning(id__bucket" in text
+    assert text.count("SinglePartition") == 1 and "hashpartitioning(__bucket" in text
+
+
+def _counting(df, ran):
+    def count(batches):
+        for batch in batches:
+            ran.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema)
+
+
+def test_codes_of_all_large_columns_by_one_read_and_two_shuffles(spark):
+    rows = [(i, f"t{i % 40}" if i % 9 else None, "hot" if i % 3 else f"c{i % 7}", {"k": i}, "x") for i in range(900)]
+    df = spark.createDataFrame(rows, "i int, p string, q string, m map<string,int>, __row string")
+    codes = encode.fit_codes(df.filter("i < 800"), ["p", "q"])
+    expected = rows_of(encode.apply_codes(df, codes, ["p", "q"]).drop("m"))
+    ran = spark.sparkContext.accumulator(0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = encode.apply_codes(_counting(df, ran), codes, ["p", "q"], broadcast_bytes=0, target_rows=50)
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert rows_of(got.drop("m")) == expected and got.columns == df.columns
+        assert sorted(r["m"]["k"] for r in got.collect()) == list(range(900))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ran.value == 900
+    # The values to their codes, the codes themselves, and the codes back to their rows.
+    assert text.count("Exchange hashpartitioning") == 3 and "BroadcastHashJoin" in text
+
+
+def test_some_columns_are_broadcast_and_some_are_not(spark):
+    df = spark.createDataFrame([(i, f"long-text-{i}" * 20, "ab"[i % 2], None) for i in range(60)], "i int, p string, q string, r string")
+    codes = encode.fit_codes(df, ["p", "q", "r"])
+    whole = encode.apply_codes(df, codes, ["p", "q", "r"])
+    assert rows_of(encode.apply_codes(df, codes, ["p", "q", "r"], broadcast_bytes=100)) == rows_of(whole)
+    clash = df.withColumnsRenamed({"i": "__code"})
+    assert encode.apply_codes(clash, codes, ["q"]).columns == ["__code", "p", "q", "r"]
+    assert encode.code_counts(codes) == {"p": 60, "q": 2}
 
 
 def test_codes_are_sorted_ranks_per_column(spark):
@@ -96,3 +150,19 @@ def test_zorder_spreads_copies_of_one_row(spark):
     df = spark.range(4000).select(F.lit(1).alias("a"), F.lit("x").alias("b")).repartition(4)
     sizes = layout.zorder(df, ["a", "b"], files=8, bits=3).groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) < 4000 / 3
+
+
+def test_files_follow_the_bytes_and_filters_skip_them(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("id % 200 AS a", "concat('name', lpad(cast(hash(id) % 300 AS string), 4, '0')) AS b")
+    size = layout.ranks(df, ["a", "b"], 4)[2]
+    path = str(tmp_path / "clustered")
+    layout.zorder(df, ["a", "b"], bits=5, file_bytes=size // 12).write.parquet(path)
+    stored = spark.read.parquet(path)
+    point = stored.select("b").first()["b"]
+    found = layout.skippable(stored, {"a": 17, "b": point})
+    files = found.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.count_if("skipped").alias("skipped")).collect()
+    assert all(12 <= r["n"] <= 14 and r["skipped"] >= r["n"] / 3 for r in files)
+    kept = found.filter("column = 'a' AND NOT skipped").select("file")
+    at = stored.withColumn("file", F.col("_metadata.file_path"))
+    assert at.join(kept, "file").filter("a = 17").count() == stored.filter("a = 17").count() == 100
+    assert found.filter("column = 'a'").agg(F.sum("rows")).first()[0] == 20_000

@@ -1,10 +1,10 @@
 import glob
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from gatehold.operators import tables
+from gatehold.operators import quality, tables
 from gatehold.operators.history import VersionedTable
 from gatehold.sources import files
 
@@ -33,11 +33,76 @@ def test_replace_partitioned_and_copy(spark, silver, database):
     assert again.count() == 3
 
 
-def test_a_table_cannot_be_replaced_by_itself(spark, silver, database):
-    tables.replace_table(silver, f"{database}.kept", ["Year"])
-    with pytest.raises(AnalysisException):
-        tables.replace_table(spark.table(f"{database}.kept").filter("Year = 2007"), f"{database}.kept", ["Year"])
-    assert spark.table(f"{database}.kept").count() == 7
+def test_a_table_can_be_replaced_by_rows_of_itself(spark, silver, database):
+    name = f"{database}.kept"
+    tables.replace_table(silver, name, ["Year"])
+    assert tables.replace_table(spark.table(name).filter("Year = 2007"), name, ["Year"]).count() == 3
+    assert [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["Year=2007"]
+    assert tables.overwrite_table(spark.table(name).limit(1), name).count() == 1
+
+
+@pytest.mark.parametrize("partition_by", [[], ["Year"]])
+def test_a_failed_write_leaves_the_table_as_it_was(spark, silver, database, partition_by):
+    name = f"{database}.survivor{len(partition_by)}"
+    tables.replace_table(silver, name, partition_by)
+    failing = silver.withColumn("delay", F.when(F.col("Year") == 2008, F.raise_error(F.lit("lost"))).otherwise(F.col("delay")))
+    for write in (lambda: tables.replace_table(failing, name, partition_by), lambda: tables.overwrite_table(failing, name)):
+        with pytest.raises(PySparkException):
+            write()
+        assert rows_of(spark.table(name), *silver.columns) == rows_of(silver)
+    assert [t.name for t in spark.catalog.listTables(database) if t.name.startswith("survivor")].count(name.split(".")[1]) == 1
+    assert not [t.name for t in spark.catalog.listTables(database) if "__" in t.name]
+
+
+def test_optimize_keeps_what_the_catalog_knows(spark, database):
+    name = f"{database}.described"
+    rows = spark.range(200).selectExpr("id", "id % 3 AS `the year`", "concat('n', id % 50) AS name")
+    tables.replace_table(rows, name, ["the year"])
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('owner.team' = 'o\\'hare', 'comment' = 'all rows')")
+    after = tables.optimize_table(spark, name, ["id", "name"])
+    assert rows_of(after, *rows.columns) == rows_of(rows)
+    described = tables._description(spark, name)
+    assert described["Type"] == "MANAGED" and described["Comment"] == "all rows" and "o'hare" in described["Table Properties"]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 3
+    assert after.filter("`the year` = 1").count() == 67
+
+
+def test_optimize_wants_a_new_folder_for_a_table_with_its_own(spark, silver, database, tmp_path):
+    silver.write.option("path", str(tmp_path / "own")).saveAsTable(f"{database}.own_folder")
+    with pytest.raises(ValueError, match="folder of its own"):
+        tables.optimize_table(spark, f"{database}.own_folder", ["Month"])
+    assert tables.optimize_table(spark, f"{database}.own_folder", ["Month"], 1, str(tmp_path / "new")).count() == 7
+
+
+def _files(folder):
+    return {f.removeprefix(folder) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)}
+
+
+def test_compact_writes_only_the_partitions_that_a_delete_touched(spark, tmp_path):
+    """One partition loses some rows, one all, with a name that needs escaping; the others keep their files."""
+    rows = spark.range(0, 400, 1, 4).selectExpr("id", "concat('a b+', id % 4, '%/') AS kind", "if(id % 8 = 3, null, id % 2) AS half")
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.overwrite(rows, ["kind", "half"])
+    folder = table._latest()["data"]
+    before = _files(folder)
+    table.delete("kind = 'a b+1%/'")
+    table.delete("id < 100 AND kind = 'a b+3%/' AND half IS NULL")
+    expected = rows_of(table.read())
+    after = table.compact()
+    assert rows_of(after) == expected and len(expected) == 400 - 100 - 13
+    assert table._latest()["deleted"] == [] and table._latest()["data"] == folder
+    kept = {f for f in before if "a b%2B1" not in f and "a b+1" not in f and not ("+3" in f and "DEFAULT" in f)}
+    assert kept and kept <= _files(folder) and not (before - kept) & _files(folder)
+    assert rows_of(table.history(), "operation", "parameters")[0][0] == "COMPACT"
+    assert '"rewritten_partitions": 2' in table._latest()["parameters"]
+    table.compact()
+    assert '"rewritten_partitions": 0' in table._latest()["parameters"] and rows_of(table.read()) == expected
+
+
+def test_missing_values_are_counted_while_a_table_is_written(spark, silver, database):
+    rows, seen = quality.watched(silver)
+    tables.overwrite_table(rows, f"{database}.watched")
+    assert quality.watched_counts(silver, seen).collect() == quality.missing_counts(silver).collect()
 
 
 def test_a_hot_partition_is_written_as_several_files(spark, database):
