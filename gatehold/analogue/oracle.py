@@ -102,6 +102,7 @@ _BODIES["s1_headed_csv"] = "SELECT * FROM flights_raw"
 _BODIES["s2_headerless_csv"] = "SELECT * FROM flights_raw"
 _BODIES["s3_glob_csv"] = 'SELECT * FROM flights_raw WHERE "Year" BETWEEN 1996 AND 1998'
 _BODIES["s4_json"] = "SELECT iata_code, name, iso_region FROM sites"
+_BODIES["s4_json_inferred"] = "SELECT iata_code, iso_region, name FROM sites"
 _BODIES["s5_text_csv"] = """
   SELECT "STATION", "Airport", CAST("YEAR" AS VARCHAR) AS "YEAR", CAST("MONTH" AS VARCHAR) AS "MONTH",
          CAST("DAY" AS VARCHAR) AS "DAY", "DateString", CAST("PREP" AS VARCHAR) AS "PREP", CAST("SNOW" AS VARCHAR) AS "SNOW",
@@ -124,6 +125,9 @@ _BODIES["t3_partitioned_table"] = "SELECT * FROM silver"
 _BODIES["t4_plain_table"] = "SELECT * FROM weather"
 _BODIES["t5_csv_export"] = "SELECT count(*) AS rows, CAST(3 AS BIGINT) AS files FROM weather"
 _BODIES["t6_delete_rows"] = 'SELECT "Year", count(*) AS n FROM flights_raw WHERE "Year" <> 1998 GROUP BY 1'
+_BODIES["t6_compact"] = """
+  SELECT "Year", count(*) AS n, CAST(3 AS INTEGER) AS rewritten FROM flights_raw
+  WHERE "Year" <> 1998 AND NOT ("Year" IN (1995, 1996) AND "Month" < 7) GROUP BY 1"""
 _BODIES["t7_history"] = """
   SELECT CAST(0 AS BIGINT) AS version, 'OVERWRITE' AS operation, CAST(NULL AS BIGINT) AS rows_before, count(*) AS rows_after
   FROM flights_raw
@@ -131,6 +135,10 @@ _BODIES["t7_history"] = """
 _BODIES["t8_latest_version"] = "SELECT CAST(1 AS BIGINT) AS version"
 _BODIES["t9_zorder"] = "SELECT * FROM silver"
 _BODIES["t9_optimize_table"] = "SELECT * FROM gold"
+_BODIES["t9_file_skipping"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE "{c}" = {p}) AS rows, CAST(0 AS BIGINT) AS lost, true AS skips FROM silver"""
+    for c, p in (("Month", 6), ("Distance", 10), ("Dest", "'NATION_7'"))
+)
 _BODIES["t10_database"] = 'SELECT "Origin", count(*) AS n FROM flights_raw GROUP BY 1'
 _BODIES["t11_copy_table"] = "SELECT * FROM gold"
 _BODIES["t12_column_statistics"] = " UNION ALL ".join(
@@ -188,6 +196,10 @@ _BODIES["f10_single_year"] = 'SELECT * FROM silver WHERE "Year" = 1998'
 
 _BODIES["j1_gold_join"] = "SELECT * FROM gold"
 _BODIES["j1_salted_join"] = "SELECT * FROM gold"
+_BODIES["j1_hot_carriers"] = """
+  SELECT s.*, c.first_day, c.longest FROM silver s
+       JOIN (SELECT "UniqueCarrier", min("DateString") AS first_day, max("Distance") AS longest FROM silver GROUP BY 1) c
+         ON s."UniqueCarrier" = c."UniqueCarrier" """
 _BODIES["j1_unmatched"] = """
   SELECT count(*) AS unmatched FROM silver a
   WHERE NOT EXISTS (SELECT 1 FROM weather b WHERE a."DateString" = b."DateString" AND a."Origin" = b."Airport")"""
@@ -220,6 +232,7 @@ _BODIES["a9_missing_counts"] = (
     + ", ".join(f'count(*) FILTER (WHERE isnan("{c}")) AS "{c}_nans"' for c in ("decimal_DepTime", "PREP", "SNOW"))
     + " FROM gold"
 )
+_BODIES["a9_missing_while_written"] = _BODIES["a9_missing_counts"]
 _BODIES["a10_max"] = "SELECT count(*) AS most_rows FROM flights_raw"
 _BODIES["a11_mean_fold_score"] = """
   SELECT round(avg(a), 9) AS mean_accuracy FROM (
@@ -278,6 +291,34 @@ _BODIES["m1_feature_rows"] = "SELECT * FROM features"
 _BODIES["m2_discretised"] = 'SELECT "decimal_DepTime", "PREP", "SNOW", count(*) AS n FROM features GROUP BY 1, 2, 3'
 _BODIES["m3_ordinal_codes"] = "SELECT * FROM codes"
 _BODIES["m4_feature_table"] = "SELECT * FROM encoded"
+# What is certain of samples and trained models; the rest is chance.
+_SAMPLE_ROWS = """(SELECT CAST(round(0.3 * count(*)) AS BIGINT) FROM features WHERE "Year" = 1997)"""
+_BODIES["m5_train_sample"] = f"SELECT {_SAMPLE_ROWS} AS rows, CAST(0 AS BIGINT) AS other_years, CAST(0 AS BIGINT) AS not_of_the_year"
+_BODIES["m6_forest"] = 'SELECT *, true AS is_share, true AS follows FROM encoded WHERE "Year" = 1998'
+_GRID = "(VALUES (0, 5, 1), (1, 5, 5), (2, 10, 1), (3, 10, 5)) AS grid(trial, max_depth, min_instances)"
+_BODIES["m10_grid_search"] = f"""
+  SELECT max_depth, min_instances, 'gini' AS criterion, CAST(100 AS INTEGER) AS trees, CAST(5 AS BIGINT) AS folds,
+         true AS is_mean, true AS ranked FROM {_GRID}"""
+_BODIES["m10_fold_scores"] = f"""
+  SELECT trial, CAST(fold AS INTEGER) AS fold, max_depth, min_instances, 'gini' AS criterion, CAST(100 AS INTEGER) AS trees,
+         {_SAMPLE_ROWS} AS all_rows, true AS is_share FROM {_GRID}, range(5) AS f(fold)"""
+_BODIES["m11_random_search"] = """
+  SELECT CAST(16 AS BIGINT) AS trials, CAST(16 AS BIGINT) AS different, CAST(16 AS BIGINT) AS known,
+         CAST(16 AS BIGINT) AS scored, true AS best"""
+_BODIES["m12_runs"] = """
+  SELECT 'baseline' AS name, CAST(0 AS BIGINT) AS data_version, 'on-time departures' AS tag,
+         '{"max_depth": 5, "trees": 100}' AS parameters, 'accuracy,auc' AS measures, true AS are_shares"""
+_BODIES["m13_scored_year"] = 'SELECT *, true AS is_share, true AS follows FROM features WHERE "Year" = 1998'
+_BODIES["m14_predicted_late"] = """
+  SELECT count(*) AS rows, CAST(0 AS BIGINT) AS not_late, true AS complete FROM features WHERE "Year" = 1998"""
+_BODIES["m7_model_metrics"] = """
+  SELECT count(*) AS rows, CAST(sum("label") AS BIGINT) AS late, CAST(1 AS DOUBLE) AS shares, CAST(1 AS DOUBLE) AS last_fpr,
+         CAST(1 AS DOUBLE) AS last_tpr, true AS same_accuracy, true AS same_area FROM features WHERE "Year" = 1998"""
+_BODIES["c1_refinement_chain"] = """
+  SELECT "Year" AS year, "Origin" AS origin, "Dest" || ' - ' || i.name AS name, CAST(sum("delay") AS BIGINT) AS total_delay
+  FROM gold JOIN airports i ON i.iata_code = "Dest"
+  WHERE "Origin" IN ('NATION_3', 'NATION_7') AND "Year" IN (1996, 1997)
+  GROUP BY "Year", "Origin", i.name, "Dest" HAVING sum("delay") > 0 ORDER BY 1, 4"""
 _BODIES["m5_test_rows"] = 'SELECT * FROM encoded WHERE "Year" = 1998'
 _BODIES["m7_accuracy"] = """
   SELECT round(avg(CASE WHEN "label" = prediction THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM scored"""

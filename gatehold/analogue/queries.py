@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gatehold import schemas
 from gatehold.analogue import views
 from gatehold.functions import columns as C
 from gatehold.functions.sql import register_functions
-from gatehold.operators import encode, metrics, quality, tables
+from gatehold.operators import encode, layout, metrics, quality, tables
 from gatehold.operators.history import VersionedTable
+from gatehold.operators.joins import lookup_join
 from gatehold.plans import airports, features, flights, gold, model, reports, weather
 from gatehold.session import scratch_path, staged
 from gatehold.sources import files
@@ -26,6 +29,7 @@ HOME = "NATION_3"
 SECOND = "NATION_7"
 YEAR = 1997
 FLOOR = 500
+HOT_KEY_ROWS = 5_000  # of a carrier in one task, where its join is made to shuffle
 TRAIN_YEAR, TEST_YEAR = 1997, 1998
 
 
@@ -125,6 +129,13 @@ def s4_json(spark, folder):
     return files.json_lines(spark, path, schemas.AIRPORT_CODES)
 
 
+@query
+def s4_json_inferred(spark, folder):
+    path = scratch_path(spark, "airports-json")
+    views.customer_sites(spark, folder).write.json(path)
+    return files.json_lines(spark, path)
+
+
 @query
 def s5_text_csv(spark, folder):
     path = scratch_path(spark, "weather-csv")
@@ -208,6 +219,19 @@ def t6_delete_rows(spark, folder):
     return _counted(_versioned_flights(spark, folder).read(), "Year")
 
 
+@query
+def t6_compact(spark, folder):
+    """Rows that are left in the files themselves after a delete of some rows of two years, and of all of a third."""
+    table = VersionedTable(spark, scratch_path(spark, "flights-bronze"))
+    table.overwrite(raw_flights(spark, folder).hint("rebalance", "Year"), ["Year"])
+    table.delete("Year IN (1995, 1996) AND Month < 7")
+    table.delete("Year = 1998")
+    table.compact()
+    latest = table.history().orderBy(F.desc("version")).first()
+    written = _counted(spark.read.parquet(latest["data"]), "Year")
+    return written.withColumn("rewritten", F.get_json_object(F.lit(latest["parameters"]), "$.rewritten_partitions").cast("int"))
+
+
 @query
 def t7_history(spark, folder):
     return _versioned_flights(spark, folder).history().select("version", "operation", "rows_before", "rows_after")
@@ -222,14 +246,33 @@ def t8_latest_version(spark, folder):
 def t9_zorder(spark, folder):
     table = VersionedTable(spark, scratch_path(spark, "flights-silver"))
     table.overwrite(silver_flights(spark, folder).hint("rebalance", "Year"), ["Year"])
-    return table.optimize(["Month", "Day", "Dest"], files=8, partition_by=["Year"])
+    return table.optimize(["Month", "Day", "Dest"], partition_by=["Year"])
 
 
 @query
 def t9_optimize_table(spark, folder):
     name = f"{_database(spark)}.flights_gold"
     tables.replace_table(gold_flights(spark, folder), name, ["Year"], ["DateString"])
-    return _plain_dates(tables.optimize_table(spark, name, ["DateString", "Dest"], 8, scratch_path(spark, "optimized")))
+    return _plain_dates(tables.optimize_table(spark, name, ["DateString", "Dest"]))
+
+
+@query
+def t9_file_skipping(spark, folder):
+    """For a filter on each clustering column: the rows that it finds in the files that it has to read, the rows that it
+    would lose with the others, and whether there are others."""
+    path = scratch_path(spark, "clustered")
+    points = {"Month": 6, "Distance": 10, "Dest": SECOND}
+    layout.zorder(staged(silver_flights(spark, folder), "silver"), list(points), files=16).write.parquet(path)
+    stored = spark.read.parquet(path)
+    rows = stored.withColumn("file", F.col("_metadata.file_path"))
+    found = rows.join(layout.skippable(stored, points).drop("rows"), "file")
+    wanted = [(F.col("column") == c) & (F.col(c) == p) for c, p in points.items()]
+    matches = reduce(or_, wanted)
+    return found.groupBy("column").agg(
+        F.count_if(matches & ~F.col("skipped")).alias("rows"),
+        F.count_if(matches & F.col("skipped")).alias("lost"),
+        F.bool_or("skipped").alias("skips"),
+    )
 
 
 @query
@@ -433,6 +476,15 @@ def j1_salted_join(spark, folder):
     return _plain_dates(gold.gold(silver_flights(spark, folder), days, broadcast_bytes=-1))
 
 
+@query
+def j1_hot_carriers(spark, folder):
+    """Four carriers share all flights, so every key is hot: each is dealt over many tasks of a join that shuffles."""
+    rows = silver_flights(spark, folder)
+    carriers = rows.groupBy("UniqueCarrier").agg(F.min("DateString").alias("first_day"), F.max("Distance").alias("longest"))
+    stored = staged(carriers, "carriers")
+    return lookup_join(rows, stored, ["UniqueCarrier"], broadcast_bytes=-1, target_rows=HOT_KEY_ROWS)
+
+
 @query
 def j1_unmatched(spark, folder):
     return gold.unmatched_count(silver_flights(spark, folder), daily(spark, folder))
@@ -501,6 +553,15 @@ def a9_missing_counts(spark, folder):
     return quality.missing_counts(gold_flights(spark, folder).drop("DATE"))
 
 
+@query
+def a9_missing_while_written(spark, folder):
+    """The same counts without a pass of their own, taken while the table is written."""
+    rows = gold_flights(spark, folder).drop("DATE")
+    watched, seen = quality.watched(rows)
+    tables.overwrite_table(watched, f"{_database(spark)}.flights_gold")
+    return quality.watched_counts(rows, seen)
+
+
 @query
 def a10_max(spark, folder):
     return _versioned_flights(spark, folder).history().agg(F.max("rows_after").alias("most_rows"))
@@ -728,7 +789,11 @@ def m4_feature_table(spark, folder):
 
 @query
 def m5_train_sample(spark, folder):
-    return features.training_rows(feature_input(spark, folder), TRAIN_YEAR)
+    """What is certain of a random sample: its size, and that its rows are rows of the year."""
+    rows = staged(feature_input(spark, folder), "features")
+    drawn = staged(features.training_rows(rows, TRAIN_YEAR), "drawn")
+    strangers = drawn.subtract(features.test_rows(rows, TRAIN_YEAR)).agg(F.count(F.lit(1)).alias("not_of_the_year"))
+    return drawn.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("Year") != TRAIN_YEAR).alias("other_years")).join(strangers)
 
 
 @query
@@ -736,11 +801,27 @@ def m5_test_rows(spark, folder):
     return features.test_rows(encoded_features(spark, folder), TEST_YEAR)
 
 
+def _encoded_and_codes(spark, folder) -> tuple[DataFrame, DataFrame]:
+    rows = staged(feature_input(spark, folder), "features")
+    codes = encode.fit_codes(rows, features.ENCODED)
+    return staged(features.encoded_rows(rows, codes), "encoded"), codes
+
+
+def _with_certain_columns(predictions: DataFrame) -> DataFrame:
+    """The rows without what chance decides, and whether it is consistent: scores are shares, predictions follow them."""
+    score = F.col("score")
+    return predictions.select(
+        *[c for c in predictions.columns if c not in ("prediction", "score")],
+        score.between(0, 1).alias("is_share"),
+        ((F.abs(score - 0.5) < 1e-9) | ((score > 0.5) == (F.col("prediction") == 1))).alias("follows"),
+    )
+
+
 @query
 def m6_forest(spark, folder):
-    encoded = encoded_features(spark, folder)
-    fitted = model.train(features.training_rows(encoded, TRAIN_YEAR))
-    return model.predict(fitted, features.test_rows(encoded, TEST_YEAR))
+    encoded, codes = _encoded_and_codes(spark, folder)
+    fitted = model.train(features.training_rows(encoded, TRAIN_YEAR), codes=codes)
+    return _with_certain_columns(model.predict(fitted, features.test_rows(encoded, TEST_YEAR)))
 
 
 @query
@@ -765,16 +846,51 @@ def m9_confusion(spark, folder):
     return cells.select("label", "prediction", "n", F.round("share", 9).alias("share"))
 
 
+def _grid(spark, folder) -> model.SearchResult:
+    encoded, codes = _encoded_and_codes(spark, folder)
+    return model.grid_search(features.training_rows(encoded, TRAIN_YEAR), bins=model.bins_for(codes))
+
+
 @query
 def m10_grid_search(spark, folder):
-    train = features.training_rows(encoded_features(spark, folder), TRAIN_YEAR)
-    return model.grid_search(train).trials
+    """The combinations, and whether the table of the search agrees with its folds and its winner."""
+    found = _grid(spark, folder)
+    settings = ["max_depth", "min_instances", "criterion", "trees"]
+    own = found.folds.groupBy(*settings).agg(F.avg("accuracy").alias("own"), F.count(F.lit(1)).alias("folds"))
+    joined = found.trials.join(own, settings)
+    best = (F.col("rank") == 1) == (F.col("mean_accuracy") == found.best_score)
+    return joined.select(
+        *settings, "folds", (F.abs(F.col("mean_accuracy") - F.col("own")) < 1e-12).alias("is_mean"), best.alias("ranked")
+    )
+
+
+@query
+def m10_fold_scores(spark, folder):
+    """A row for each fold and combination; the folds of a combination hold all training rows together."""
+    all_rows = F.sum("rows").over(Window.partitionBy("trial")).alias("all_rows")
+    return _grid(spark, folder).folds.select(
+        "trial", "fold", "max_depth", "min_instances", "criterion", "trees", all_rows, F.col("accuracy").between(0, 1).alias("is_share")
+    )
 
 
 @query
 def m11_random_search(spark, folder):
-    train = features.training_rows(encoded_features(spark, folder), TRAIN_YEAR)
-    return model.random_search(train).trials
+    """Of a random search: how many combinations, how many different ones, and how many of the given values."""
+    encoded, codes = _encoded_and_codes(spark, folder)
+    found = model.random_search(features.training_rows(encoded, TRAIN_YEAR), bins=model.bins_for(codes))
+    sizes = [model.min_instances(n) for n in model.SEARCH_MIN_SPLITS]
+    known = (
+        F.col("max_depth").isin(model.SEARCH_DEPTHS)
+        & F.col("min_instances").isin(sizes)
+        & F.col("criterion").isin(model.SEARCH_CRITERIA)
+    )
+    return found.trials.agg(
+        F.count(F.lit(1)).alias("trials"),
+        F.countDistinct("max_depth", "min_instances", "criterion").alias("different"),
+        F.count_if(known).alias("known"),
+        F.count_if(F.col("mean_accuracy").between(0, 1)).alias("scored"),
+        (F.max("mean_accuracy") == found.best_score).alias("best"),
+    )
 
 
 def _fitted(spark, folder) -> tuple[model.DelayModel, VersionedTable]:
@@ -785,6 +901,26 @@ def _fitted(spark, folder) -> tuple[model.DelayModel, VersionedTable]:
     return model.DelayModel.load(spark, path), table
 
 
+@query
+def m7_model_metrics(spark, folder):
+    """The measures of a trained model by this library against those of Spark's own evaluators, and the rows they count."""
+    fitted, table = _fitted(spark, folder)
+    scored = staged(fitted.score(table.read(), [TEST_YEAR]).select("label", "prediction", "score"), "scored")
+    spark_own = model.evaluate(scored)
+    ours = metrics.accuracy(scored).join(metrics.roc_area(scored))
+    cells = metrics.confusion(scored).agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("late"),
+        F.round(F.sum("share"), 9).alias("shares"),
+    )
+    ends = metrics.roc_points(scored).agg(F.max("fpr").alias("last_fpr"), F.max("tpr").alias("last_tpr"))
+    return ours.join(cells).join(ends).select(
+        "rows", "late", "shares", "last_fpr", "last_tpr",
+        (F.abs(F.col("accuracy") - spark_own["accuracy"]) < 1e-9).alias("same_accuracy"),
+        (F.abs(F.col("auc") - spark_own["auc"]) < 1e-9).alias("same_area"),
+    )
+
+
 @query
 def m12_runs(spark, folder):
     fitted, table = _fitted(spark, folder)
@@ -792,17 +928,47 @@ def m12_runs(spark, folder):
     path = scratch_path(spark, "runs")
     parameters = {"max_depth": 5, "trees": model.TREES}
     model.log_run(spark, path, "baseline", table.latest_version(), parameters, measured, "on-time departures")
-    return model.runs(spark, path).select("name", "data_version", "tag", "parameters", "metrics")
+    values = F.from_json("metrics", "map<string,double>")
+    return model.runs(spark, path).select(
+        "name", "data_version", "tag", "parameters",
+        F.array_join(F.array_sort(F.map_keys(values)), ",").alias("measures"),
+        F.forall(F.map_values(values), lambda v: v.between(0, 1)).alias("are_shares"),
+    )
 
 
 @query
 def m13_scored_year(spark, folder):
     fitted, table = _fitted(spark, folder)
-    return fitted.score(table.read(), [TEST_YEAR])
+    return _with_certain_columns(fitted.score(table.read(), [TEST_YEAR]))
 
 
 @query
 def m14_predicted_late(spark, folder):
+    """Of the flights that are predicted late: they are all that the stored predictions call late, and no others."""
     fitted, table = _fitted(spark, folder)
     name = f"{_database(spark)}.gold_ml_predicted"
-    return model.predicted_late(tables.overwrite_table(fitted.score(table.read(), [TEST_YEAR]), name))
+    scored = tables.overwrite_table(fitted.score(table.read(), [TEST_YEAR]), name)
+    late = model.predicted_late(scored).agg(
+        F.count(F.lit(1)).alias("late"), F.count_if(F.col("prediction") != 1).alias("not_late")
+    )
+    others = scored.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prediction") == 0).alias("on_time"))
+    return late.join(others).select("rows", "not_late", (F.col("late") + F.col("on_time") == F.col("rows")).alias("complete"))
+
+
+# --- the refinement as one chain ---------------------------------------------
+
+
+@query
+def c1_refinement_chain(spark, folder):
+    """Raw flights to a report through every table between them, each written and read again."""
+    base = _database(spark)
+    bronze = VersionedTable(spark, scratch_path(spark, "flights-bronze"))
+    chosen = flights.bronze(raw_flights(spark, folder), [HOME, SECOND])
+    bronze.overwrite(chosen.hint("rebalance", "Year"), ["Year"])
+    bronze.delete("Year = 1998")
+    bronze.compact()
+    silver = tables.replace_table(flights.silver(bronze.read()), f"{base}.flights_silver", ["Year"], ["DateString"])
+    days = tables.replace_table(daily(spark, folder), f"{base}.weather_data")
+    tables.replace_table(gold.gold(silver, days), f"{base}.flights_gold", ["Year"], ["DateString"])
+    clustered = tables.optimize_table(spark, f"{base}.flights_gold", ["DateString", "Dest"])
+    return reports.delay_by_named_route_from(clustered, airports_with_region(spark, folder), YEAR - 1, floor=0)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gatehold.functions import columns as C
 from gatehold.operators.encode import apply_codes, fit_codes
+from gatehold.operators.sampling import bootstrap
 from gatehold.plans.gold import with_line
 
 ENCODED = ["TailNum", "Origin", "Dest", "line", "UniqueCarrier"]
@@ -31,8 +32,8 @@ def encoded_rows(rows: DataFrame, codes: DataFrame | None = None) -> DataFrame:
 
 
 def training_rows(rows: DataFrame, year: int, fraction: float = 0.3, seed: int = 1) -> DataFrame:
-    """A bootstrap sample of one year: rows drawn with replacement, about `fraction` of their number."""
-    return rows.filter(F.col("Year") == year).sample(withReplacement=True, fraction=fraction, seed=seed)
+    """A bootstrap sample of one year: rows drawn with replacement, exactly round(fraction * their number) of them."""
+    return bootstrap(rows.filter(F.col("Year") == year), fraction, seed)
 
 
 def test_rows(rows: DataFrame, year: int) -> DataFrame:
