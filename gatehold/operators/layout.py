@@ -106,6 +106,9 @@ def zorder(
     z, tie, *names = fresh(df, "__z", "__tie", *[f"__bucket_{i}" for i in range(len(columns))])
     pairs = list(zip(names, columns))
     bucketed = with_buckets(df, {n: numbers[c] for n, c in pairs}, {n: points[c] for n, c in pairs}, bits)
+    # A column of few values has few cut points; its buckets are stretched, so that it divides by its highest bits too.
+    wide = {n: F.floor(quoted(n) * (2**bits / (len(points[c]) + 1))).cast("int") for n, c in pairs}
+    bucketed = bucketed.withColumns(wide)
     spread = F.pmod(F.pmod(F.xxhash64(*map(quoted, df.columns)), F.lit(1024)) + F.spark_partition_id(), F.lit(1024))
     keyed = bucketed.withColumns({z: interleave(names, bits), tie: spread})
     by = [*map(quoted, partition_by), quoted(z)]
