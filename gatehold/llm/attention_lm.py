@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from gatehold.llm.bpe import encoder
 from gatehold.llm.charlm import Model, Words, count_grams, estimate
 from gatehold.llm.columns import quoted
-from gatehold.llm.rolling import blocks, lower, running, stretch, word_spans
+from gatehold.llm.rolling import blocks, lower, span_hashes, word_spans
 from gatehold.llm.storage import Rounds
 
 BLOCK_BYTES = 8 << 20  # texts that are scored together; a longer text is a block by itself
@@ -379,7 +379,7 @@ def _vocabulary(parts: int):
                 numbers, part = (batch.column(i).slice(first, stop - first).to_numpy(zero_copy_only=False) for i in (3, 2))
                 folded = lower(data)
                 starts, ends, rows = word_spans(folded, offsets)
-                word, rows = _word_hashes(stretch(running(folded), starts, ends), rows)
+                word, rows = _word_hashes(span_hashes(folded, starts, ends), rows)
                 row = np.repeat(np.arange(stop - first), np.diff(rows))
                 for number in np.unique(numbers).tolist():
                     if of not in (None, number):

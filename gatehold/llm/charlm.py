@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatehold.llm.rolling import blocks, lower, running, stretch, word_spans
+from gatehold.llm.rolling import blocks, lower, span_hashes, word_spans
 from gatehold.llm.storage import Rounds
 
 ORDER = 5
@@ -32,7 +32,7 @@ class Words:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, fold: bool):
         data = lower(data) if fold else data
         starts, ends, self.rows = word_spans(data, offsets)
-        hashes = stretch(running(data), starts, ends)
+        hashes = span_hashes(data, starts, ends)
         self.hashes, index, self.word = np.unique(hashes, return_index=True, return_inverse=True)
         self.starts, self.ends = starts[index], ends[index]
         begin, size = self.starts, self.ends - self.starts

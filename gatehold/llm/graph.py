@@ -12,12 +12,13 @@ from gatehold.llm.storage import Rounds
 _EDGES = ("u", "v")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, into: Rounds, label: str) -> DataFrame:
     """(node, component) for links (u, v) of long ids: the least id reachable, for every id in a link.
 
     Each round ties all neighbours of a node to the least of them, first those above it and then those below; paths
     shrink by a factor each time, and the number of links never grows. Sums inside the tasks come first, so a node with
-    many links is not gathered. Acts at once: each round is stored. No links give no rows; loops and repeats are fine.
+    many links is not gathered. Acts at once: each round is stored, and the result, which is all that stays, as `label`.
+    No links give no rows; loops and repeats are fine.
     """
     rounds = Rounds(links.sparkSession)
     known = links.select(
@@ -44,6 +45,8 @@ def components(links: DataFrame) -> DataFrame:
         known = rounds.store(below.filter("u != v").distinct(), f"links-{n}")
         rounds.drop("least", "above", f"links-{n - 1}")
     # Now each node has one link, to the least of its component.
-    return nodes.join(known.withColumnRenamed("u", "node"), "node", "left").select(
-        "node", F.coalesce("v", "node").alias("component")
-    )
+    found = nodes.join(known.withColumnRenamed("u", "node"), "node", "left")
+    found = into.store(found.select("node", F.coalesce("v", "node").alias("component")), label)
+    del nodes, known
+    rounds.clear()
+    return found

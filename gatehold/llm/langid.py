@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from gatehold.llm.storage import Rounds
 
 UNKNOWN = "und"
 STEADY = 40  # bytes of text that say as much about the language as a long text
-REJECTED = 0.01  # share of the held-out texts of known language whose score may lie below the limit for rejection
+REJECTED = 0.01  # share of the texts of known language, kept apart for this, that may be rejected
 
 
 def held_out(id_col: str, remainder: int, of: int = 5) -> Column:
@@ -71,29 +73,59 @@ def predict(docs: DataFrame, models: dict[str, Model], text_col: str = "text") -
     return docs.withColumns({text: given, letters: letter}).select(*map(quoted, own), text, letters).mapInArrow(run, schema)
 
 
-def rejection_limit(predicted: DataFrame, share: float = REJECTED) -> float:
-    """The score below which lies `share` of the rightly predicted rows (lang, lang_pred, score); 0 without such rows."""
-    right = predicted.filter(F.col("lang") == F.col("lang_pred"))
-    return right.agg(F.percentile_approx("score", share, 1000)).first()[0] or 0.0
+@dataclass(frozen=True)
+class Limits:
+    """The least score, and the most cross-entropy of a text in each language, that are not rejected."""
 
+    score: float
+    entropy: dict[str, float]
 
-def entropy_limits(predicted: DataFrame, share: float = REJECTED) -> dict[str, float]:
-    """The cross-entropy above which lies `share` of the rightly predicted rows of each language."""
-    right = predicted.filter(F.col("lang") == F.col("lang_pred"))
-    limits = right.groupBy("lang").agg(F.percentile_approx("cross_entropy", 1 - share, 1000).alias("limit"))
-    return {r["lang"]: r["limit"] for r in limits.collect() if r["limit"] is not None}
 
+def limits(calibration: DataFrame, lang_col: str = "lang", share: float = REJECTED) -> Limits:
+    """Limits that reject about `share` of the rightly predicted rows of `calibration`, half by each kind.
 
-def rejecting(predicted: DataFrame, calibration: DataFrame, share: float = REJECTED) -> DataFrame:
+    `calibration` is what `predict` returns for rows with their language, which the models must not have seen. Limits of
+    cross-entropy allow for how few rows they come from. Without rightly predicted rows nothing is rejected for its score,
+    and a language with fewer than two has no limit. Acts at once.
+    """
+    lang, score, entropy = (quoted(c) for c in _own(calibration, "lang_pred", "score", "cross_entropy"))
+    right = calibration.filter(quoted(lang_col) == lang)
+    least = right.agg(F.percentile_approx(score, share / 2, 1000)).first()[0]
+    most = right.groupBy(lang.alias("of")).agg(
+        F.percentile_approx(entropy, 1 - share / 2, 1000).alias("most"),
+        F.avg(entropy).alias("mean"),
+        F.stddev_samp(entropy).alias("deviation"),
+        F.count(entropy).alias("n"),
+    )
+    bounds = {}
+    for r in most.filter("n > 1").collect():  # one row per language
+        # The quantile of a few rows is their largest value, which a new row exceeds far more often than wanted.
+        apart = _student(1 - share / 2, r["n"] - 1) * r["deviation"] * (1 + 1 / r["n"]) ** 0.5
+        bounds[r["of"]] = max(r["most"], r["mean"] + apart)
+    return Limits(least or 0.0, bounds)
+
+
+def _student(share: float, freedom: int) -> float:
+    """About the quantile of Student's distribution, by its expansion around the normal one."""
+    z = NormalDist().inv_cdf(share)
+    first, second = (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96
+    return z + first / freedom + second / freedom**2
+
+
+def _own(predicted: DataFrame, *names: str) -> list[str]:
+    """The columns that `predict` added under these names: the last ones that begin so, as underscores may follow."""
+    return [[c for c in predicted.columns if c.rstrip("_") == n][-1] for n in names]
+
+
+def rejecting(predicted: DataFrame, known: Limits) -> DataFrame:
     """`predicted`, as `predict` returns it, with rejected: whether the text is likely in no language that was learned.
 
-    Limits come from `calibration`, held-out rows (lang, lang_pred, score, cross_entropy), half of `share` for each: a
-    score below its limit, or a cross-entropy above that of the predicted language, rejects, as does `und`. A language
-    without held-out rows has no limit for its cross-entropy. Acts at once on `calibration`.
+    A score below its limit, or a cross-entropy above that of the predicted language, rejects, as does `und`. Where
+    `predicted` has such a column, underscores are added to the new one.
     """
-    least, most = rejection_limit(calibration, share / 2), entropy_limits(calibration, share / 2)
+    lang, score, entropy = (quoted(c) for c in _own(predicted, "lang_pred", "score", "cross_entropy"))
     far = F.lit(False)
-    for lang, limit in sorted(most.items()):
-        far = far | ((F.col("lang_pred") == lang) & (F.col("cross_entropy") > limit))
-    rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least) | F.coalesce(far, F.lit(False))
-    return predicted.withColumn("rejected", rejected)
+    for name, most in sorted(known.entropy.items()):
+        far = far | ((lang == name) & (entropy > most))
+    rejected = (lang == UNKNOWN) | (score < known.score) | F.coalesce(far, F.lit(False))
+    return predicted.withColumn(fresh(predicted, "rejected")[0], rejected)

@@ -326,6 +326,8 @@ def _large_links(rounds: Rounds, members: DataFrame, j: Fraction) -> DataFrame:
     # Two members are linked for certain when their slacks add up to 0 or less.
     slack = F.col("differences") * d.denominator - F.col("size") * d.numerator
     described = rounds.store(described.withColumn("slack", slack), "described")
+    del usual, copies
+    rounds.drop("usual", "usual-copies")
     centres = described.groupBy("family").agg(
         F.min(F.struct("slack", "class")).alias("centre"), F.max("slack").alias("greatest")
     )
@@ -373,7 +375,10 @@ def _large_links(rounds: Rounds, members: DataFrame, j: Fraction) -> DataFrame:
     checked = pairs.join(own.toDF("u", "u_size", "u_set"), "u").join(own.toDF("v", "v_size", "v_set"), "v")
     both = F.size(F.array_intersect("u_set", "v_set")).cast("long")
     alike = both * j.denominator >= (F.col("u_size") + F.col("v_size") - both) * j.numerator
-    return rounds.store(star.union(checked.filter(alike).select("u", "v")), "large-links")
+    links = rounds.store(star.union(checked.filter(alike).select("u", "v")), "large-links")
+    del described, centres, star, items, probes, index, outer, tied, pairs, checked
+    rounds.drop("described", "centres", "candidates")
+    return links
 
 
 def class_components(
@@ -390,8 +395,9 @@ def class_components(
     Classes come with first_id, which stands for a text, and size. `fetch` replaces first_id by text in rows with it; a
     text that is of another class is passed over.
     """
-    family = components(links).select(F.col("component").alias("family"), F.col("node").alias("class"))
+    family = components(links, rounds, "nodes").select(F.col("component").alias("family"), F.col("node").alias("class"))
     family = rounds.store(family.join(classes, "class"), "families")
+    rounds.drop("nodes")
     measured = family.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("shingles"))
     measured = measured.withColumn(
         "large", (F.col("members") > small_members) | (F.col("shingles") > SMALL_SHINGLES)
@@ -401,6 +407,8 @@ def class_components(
         "family", "members", "class", "large", "first_id"
     )
     wanted = rounds.store(fetch(wanted), "family-texts")
+    del family, measured
+    rounds.drop("families", "family-sizes")
     small = (
         wanted.filter("not large")
         .select("family", "class", "text")
@@ -413,7 +421,12 @@ def class_components(
     del wanted
     rounds.drop("family-texts")
     links = _large_links(rounds, large, similarity)
-    return small.union(components(links).select("node", "component"))
+    del large
+    rounds.drop("large-members")
+    found = components(links, rounds, "large-components")
+    del links
+    rounds.drop("large-links")
+    return small.union(found.select("node", "component"))
 
 
 def jaccard_components(
@@ -423,6 +436,7 @@ def jaccard_components(
     id_col: str = "doc_id",
     text_col: str = "text",
     small_members: int = SMALL_MEMBERS,
+    rounds: Rounds | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id, the least id that links lead to, its own included.
 
@@ -430,8 +444,9 @@ def jaccard_components(
     link when the Jaccard similarity of their sets is at least `similarity`. A null or empty text, or one without
     words, has no shingles and is linked with nothing. A row without an id is in no component: component_id is null.
     Repeated rows each give a row; rows that share an id but not the text are judged one by one. Acts at once.
+    What the result reads is stored in `rounds`, which the caller may clear after the result has been read.
     """
-    rounds = Rounds(docs.sparkSession)
+    rounds = rounds or Rounds(docs.sparkSession)
     texts = documents(docs, id_col, text_col)
     rows = rounds.store(texts.mapInArrow(_emit_sets(width, similarity), _SETS), "sets")
     segments = rows.select("class", F.explode("segments").alias("segment"))
@@ -440,8 +455,10 @@ def jaccard_components(
     # Both joins shuffle at every size, so that small inputs behave like large ones.
     links = segments.join(shared.hint("merge"), "segment").filter("class != least").select("class", "least").distinct()
     links = rounds.store(links.toDF("u", "v"), "same-segment")
+    # From here on no one needs the segments, most of what is stored.
+    rows = rounds.store(rows.select("doc_id", "n_shingles", "class"), "rows")
     del segments, shared
-    rounds.drop("shared")
+    rounds.drop("shared", "sets")
     classes = (
         rows.filter("n_shingles > 0 and doc_id is not null")
         .groupBy("class")
@@ -464,7 +481,7 @@ def jaccard_components(
     least = rounds.store(joined.groupBy("component").agg(F.min("first_id").alias("component_id")), "least-ids")
     by_class = rounds.store(joined.join(least, "component").select("class", "component_id"), "by-class")
     del found, links, joined, least
-    rounds.drop("same-segment", "families", "large-members", "candidates", "joined")
+    rounds.drop("same-segment", "classes", "small-components", "large-components", "joined", "least-ids")
     return rows.select("doc_id", "n_shingles", "class").join(by_class, "class", "left").select(
         "doc_id",
         "n_shingles",

@@ -130,7 +130,7 @@ def repeated_paragraphs(docs: DataFrame, width: int = WIDTH, similarity: Fractio
     least = joined.groupBy("component").agg(F.min("first_id").alias("stays"))
     least = rounds.store(joined.join(least, "component").select("class", "stays"), "stays")
     del links, found, joined
-    rounds.drop("same-band", "large-members", "candidates", "families")
+    rounds.drop("same-band", "classes", "small-components", "large-components", "joined")
     return rows.join(least, "class").filter(F.struct("doc_id", "paragraph") != F.col("stays")).select("doc_id", "paragraph")
 
 

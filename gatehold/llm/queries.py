@@ -45,13 +45,15 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
-    training = docs.filter(~langid.held_out("doc_id", 0))
-    models = langid.fit(training)
-    calibration = docs.filter(langid.held_out("doc_id", 0) & F.col("lang").isNotNull()).select("lang", "text")
-    predicted = langid.predict(docs.select("doc_id", "text"), models)
-    predicted = langid.rejecting(predicted, Rounds(spark).store(langid.predict(calibration, models).drop("text"), "calibration"))
-    held_out = langid.held_out("doc_id", 0).alias("held_out")
-    return predicted.select("doc_id", held_out, "lang_pred", "rejected", "score", "cross_entropy")
+    held_out = langid.held_out("doc_id", 0)
+    training = docs.filter(~held_out).select("doc_id", "lang", "text")
+    # Limits for rejection come from a part of the training rows that a first fit leaves out; models from all of them.
+    aside = langid.held_out("doc_id", 1)
+    tuning = training.filter(aside & F.col("lang").isNotNull()).select("lang", "text")
+    judged = langid.predict(tuning, langid.fit(training.filter(~aside))).drop("text")
+    limits = langid.limits(Rounds(spark).store(judged, "calibration"))
+    predicted = langid.rejecting(langid.predict(docs.select("doc_id", "text"), langid.fit(training)), limits)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "rejected", "score", "cross_entropy")
 
 
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,7 +71,7 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    return sentencepiece_codec.checked(_documents(spark, folder), public_tokenizers.path(PIECES), audited=None)
+    return sentencepiece_codec.checked(_documents(spark, folder), public_tokenizers.path(PIECES))
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

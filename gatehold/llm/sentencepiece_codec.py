@@ -22,8 +22,7 @@ from gatehold.llm.columns import documents
 from gatehold.llm.rolling import blocks
 
 MARK = "▁"
-AUDITED = 20  # one in so many ids is compared with the sentencepiece library unless every row is asked for
-REMEMBERED = 200_000  # words whose ids a task keeps for the parity check before it starts anew
+REMEMBERED = 200_000  # words whose ids a worker keeps before it starts anew
 # Field numbers of the model file and its kinds of pieces.
 _PIECES, _TRAINER, _NORMALISER = 1, 2, 3
 _TEXT, _SCORE, _KIND = 1, 2, 3
@@ -160,24 +159,35 @@ def reference(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-class Parity:
-    """Ids of the sentencepiece library, from each distinct word once where words are encoded apart from each other.
+class Words:
+    """Ids of texts from those of their distinct words, each of which is encoded, decoded and compared once.
 
-    That is so when texts are not normalised and no piece has a space behind another character; a word is then a run of
-    spaces, the first of which stands for the prefix, and what follows up to the next space. Other models and texts are
-    encoded whole.
+    That is enough when texts are not normalised and no piece has a space behind another character: a word is then a run
+    of spaces, the first of which stands for the prefix, and what follows up to the next space. New words are encoded in
+    one batch with as many threads as the library is given. Other models and texts are worked on whole.
     """
 
     def __init__(self, path: str):
         model = read_model(path)
-        self.library = reference(path)
-        plain = model.dummy_prefix and model.escape and not model.merge_spaces and not model.charsmap
-        self.by_word = plain and not any(MARK in p.lstrip(MARK) or " " in p for p, *_ in model.pieces)
+        self.codec, self.library = codec(path), reference(path)
+        self.normalised = model.merge_spaces or bool(model.charsmap)
+        plain = model.dummy_prefix and model.escape and not self.normalised
+        own = any(kind == _USER for *_, kind in model.pieces)
+        self.by_word = plain and not own and not any(MARK in p.lstrip(MARK) or " " in p for p, *_ in model.pieces)
         self.words = re.compile(" +[^ ]*")
-        self.known: dict[str, list[int]] = {}
-
-    def ids(self, texts: list[str]) -> Iterator[list[int]]:
-        """The library's ids of each text."""
+        self.known: dict[str, tuple[bytes, bool, bool]] = {}
+
+    def _checked(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
+        """(ids as little-endian 32-bit numbers, decoding gives the text again, the library gives the same ids)."""
+        ids = [e.ids for e in self.codec.encode_batch_fast(texts, add_special_tokens=False)]
+        back = self.codec.decode_batch(ids, skip_special_tokens=False)
+        wanted = self.library.encode(texts)
+        if self.normalised:
+            texts = [self.library.normalize(t).removeprefix(MARK).replace(MARK, " ") for t in texts]
+        return [(np.array(i, "<u4").tobytes(), a == b, i == w) for i, a, b, w in zip(ids, back, texts, wanted)]
+
+    def checked(self, texts: list[str]) -> Iterator[tuple[bytes, bool, bool]]:
+        """The same for each text, from its words where that is enough."""
         split: list[list[str] | None] = []
         for t in texts:
             # A space at the end is a word without a text of its own; a marker in the text is taken for a space.
@@ -186,14 +196,21 @@ class Parity:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list(set(chain.from_iterable(s for s in split if s)).difference(self.known))
-        self.known.update(zip(new, self.library.encode([w[1:] for w in new])))
+        if new:
+            self.known.update(zip(new, self._checked([w[1:] for w in new])))
         for t, s in zip(texts, split):
-            yield self.library.encode(t) if s is None else list(chain.from_iterable(map(self.known.__getitem__, s)))
+            if s is None:
+                yield self._checked([t])[0]
+            elif s:
+                ids, back, same = zip(*map(self.known.__getitem__, s))
+                yield b"".join(ids), all(back), all(same)
+            else:
+                yield b"", True, True
 
 
 @lru_cache(maxsize=2)
-def parity_of(path: str) -> Parity:
-    return Parity(path)
+def words_of(path: str) -> Words:
+    return Words(path)
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,33 +240,20 @@ def decoded(ids: DataFrame, path: str) -> DataFrame:
     return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def checked(docs: DataFrame, path: str, audited: int | None = AUDITED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Digests of encoding and decoding every text: doc_id, n_ids, ids_crc32 (little-endian unsigned 32-bit ids),
-    round_trip (decoding the ids gives the text again, after the model's normaliser) and parity.
-
-    Parity says whether the sentencepiece library gives the same ids, for every row, also one with a null id, where
-    `audited` is None; else it is null for null ids and those that `audited` does not divide. A null text counts as empty.
+    round_trip (decoding the ids gives the text again, after the model's normaliser) and parity (the sentencepiece
+    library gives the same ids). A null text counts as empty; repeated rows and rows without an id each give a row.
     """
-    spaces = read_model(path).merge_spaces or read_model(path).charsmap
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, stop, _, _ in blocks(batch.column(1)):
-                own = batch.column(0).slice(first, stop - first)
                 texts = [t or "" for t in batch.column(1).slice(first, stop - first).to_pylist()]
-                ids = [e.ids for e in codec(path).encode_batch_fast(texts, add_special_tokens=False)]
-                back = codec(path).decode_batch(ids, skip_special_tokens=False)
-                if spaces:
-                    texts_back = [reference(path).normalize(t) for t in texts]
-                    texts_back = [t.removeprefix(MARK).replace(MARK, " ") for t in texts_back]
-                else:
-                    texts_back = texts
-                asked = [audited is None or (d is not None and d % audited == 0) for d in own.to_pylist()]
-                wanted = parity_of(path).ids([t for t, a in zip(texts, asked) if a])
-                parity = [next(wanted) == i if a else None for a, i in zip(asked, ids)]
-                columns = [own, pa.array([len(i) for i in ids], pa.int64())]
-                columns += [pa.array([zlib.crc32(np.array(i, "<u4").tobytes()) for i in ids], pa.int64())]
-                columns += [pa.array([a == b for a, b in zip(back, texts_back)], pa.bool_()), pa.array(parity, pa.bool_())]
+                ids, back, same = zip(*words_of(path).checked(texts))
+                columns = [batch.column(0).slice(first, stop - first)]
+                columns += [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(map(zlib.crc32, ids), pa.int64())]
+                columns += [pa.array(back, pa.bool_()), pa.array(same, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _OUT.split(", ")])
 
     return documents(docs, id_col, text_col).mapInArrow(run, _OUT)

@@ -34,8 +34,12 @@ class Rounds:
     def drop(self, *labels: str) -> None:
         """Delete tables, and let Spark's cleaner find the shuffle files of jobs whose frames are gone."""
         jvm = self.spark.sparkContext._jvm
-        for label in labels:
+        for label in list(labels):
             path = jvm.org.apache.hadoop.fs.Path(self._tables.pop(label)[0])
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         gc.collect()
         jvm.System.gc()
+
+    def clear(self) -> None:
+        """Delete all tables that are left, once nothing lazy reads them any more."""
+        self.drop(*self._tables)

@@ -102,5 +102,18 @@ def test_texts_of_other_languages_are_rejected(spark, frame, documents):
     models = langid.fit(documents)
     calibration = langid.predict(documents.filter("lang is not null").select("lang", "text"), models)
     other = frame({1: "zażółć gęślą jaźń " * 5, 2: "съешь же ещё этих мягких французских булок " * 3, 3: None})
-    found = {r["doc_id"]: r for r in langid.rejecting(langid.predict(other, models), calibration).collect()}
+    known = langid.limits(calibration)
+    found = {r["doc_id"]: r for r in langid.rejecting(langid.predict(other, models), known).collect()}
+    clash = other.withColumnsRenamed({"lang": "lang_pred", "source": "rejected"}).withColumn("score", F.lit(-1.0))
+    again = {r["doc_id"]: r["rejected_"] for r in langid.rejecting(langid.predict(clash, models), known).collect()}
+    assert again == {i: r["rejected"] for i, r in found.items()}
     assert [found[i]["rejected"] for i in (1, 2, 3)] == [True] * 3 and found[1]["lang_pred"] in models
+
+
+def test_held_out_labels_are_not_read(spark, documents, tmp_path):
+    """Wrong languages on all held-out rows change no column."""
+    wrong = F.when(langid.held_out("doc_id", 0), F.lit("xx")).otherwise(F.col("lang"))
+    documents.withColumn("lang", wrong).write.parquet(str(tmp_path / "documents.parquet"))
+    first, second = (sorted(map(tuple, queries.op5_language_id(spark, f).collect())) for f in (SMALL, str(tmp_path)))
+    for a, b in zip(first, second, strict=True):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], abs=1e-9, nan_ok=True)

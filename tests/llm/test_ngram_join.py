@@ -103,3 +103,16 @@ def test_text_first_seen_without_an_id_still_links(frame):
     df = frame([(None, text), (7, text), (3, near)]).coalesce(1)
     found = ngram_join.jaccard_components(df).collect()
     assert sorted((r["doc_id"] or 0, r["component_id"]) for r in found) == [(0, None), (3, 3), (7, 3)]
+
+
+def _thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_words_with_cancelling_differences_are_not_the_same(frame):
+    """Polynomial hashes modulo a power of two take a long Thue-Morse word for its complement."""
+    for n in (1024, 4096):
+        word = _thue_morse(n)
+        texts = {1: word, 2: word.translate(str.maketrans("ab", "ba")), 3: word.upper()}
+        found = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(frame(texts)).collect()}
+        assert found == {1: 1, 2: 2, 3: 1}
