@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,7 +23,7 @@ from gatehold.llm.columns import documents
 from gatehold.llm.rolling import blocks
 
 MARK = "▁"
-REMEMBERED = 200_000  # words whose ids a worker keeps before it starts anew
+REMEMBERED = 300_000  # words of a generation; a worker keeps two, so words that come again stay
 # Field numbers of the model file and its kinds of pieces.
 _PIECES, _TRAINER, _NORMALISER = 1, 2, 3
 _TEXT, _SCORE, _KIND = 1, 2, 3
@@ -175,7 +176,9 @@ class Words:
         own = any(kind == _USER for *_, kind in model.pieces)
         self.by_word = plain and not own and not any(MARK in p.lstrip(MARK) or " " in p for p, *_ in model.pieces)
         self.words = re.compile(" +[^ ]*")
+        # Those met since the last change of generations, and those of the one before.
         self.known: dict[str, tuple[bytes, bool, bool]] = {}
+        self.older: dict[str, tuple[bytes, bool, bool]] = {}
 
     def _checked(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         """(ids as little-endian 32-bit numbers, decoding gives the text again, the library gives the same ids)."""
@@ -184,7 +187,7 @@ class Words:
         wanted = self.library.encode(texts)
         if self.normalised:
             texts = [self.library.normalize(t).removeprefix(MARK).replace(MARK, " ") for t in texts]
-        return [(np.array(i, "<u4").tobytes(), a == b, i == w) for i, a, b, w in zip(ids, back, texts, wanted)]
+        return [(array("I", i).tobytes(), a == b, i == w) for i, a, b, w in zip(ids, back, texts, wanted)]
 
     def checked(self, texts: list[str]) -> Iterator[tuple[bytes, bool, bool]]:
         """The same for each text, from its words where that is enough."""
@@ -194,8 +197,13 @@ class Words:
             whole = not self.by_word or t.endswith(" ") or MARK in t or "\0" in t
             split.append(None if whole else self.words.findall(" " + t) if t else [])
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set(chain.from_iterable(s for s in split if s)).difference(self.known))
+            self.known, self.older = {}, self.known
+        new = []
+        for word in set(chain.from_iterable(s for s in split if s)).difference(self.known):
+            if word in self.older:
+                self.known[word] = self.older[word]
+            else:
+                new.append(word)
         if new:
             self.known.update(zip(new, self._checked([w[1:] for w in new])))
         for t, s in zip(texts, split):
