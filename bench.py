@@ -20,6 +20,7 @@ HEADLINE = """
     a5_delay_by_destination a6_yearly_delays a8_years_present a9_missing_counts
     o4_top_delays e2_hour_base10 d1_sql_functions
     m3_ordinal_codes m4_feature_table m6_forest m7_accuracy m8_roc_points m8_roc_area m9_confusion m13_scored_year
+    m10_grid_search m11_random_search m12_runs m14_predicted_late c1_refinement_chain j1_hot_carriers t6_compact
 """.split()
 
 
