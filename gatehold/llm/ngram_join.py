@@ -44,7 +44,9 @@ _PARTNERS = 256  # members of a large family for each copy of its usual shingles
 _BUCKET = log(1.03)  # sizes in one bucket of an inverted list differ by 3 %
 
 _SETS = "doc_id long, n_shingles long, class long, segments array<long>"
-_MEMBERS = "family long, members long, class long, size long, shingles array<long>"
+_WORDS = 16  # of 64 bits in a sketch of a set
+
+_MEMBERS = "family long, members long, class long, size long, shingles array<long>, sketch array<long>"
 _DESCRIBED = "family long, class long, size long, differences long, rarest array<long>"
 
 
@@ -256,6 +258,18 @@ def _search_family(width: int, j: Fraction):
     return run
 
 
+def sketches(values: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """For each of `n` sets a row of bits: whether an odd number of its shingles falls there.
+
+    Two sketches differ in no more bits than the sets have different shingles, as shingles in both cancel out.
+    """
+    place = mix(values ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(64 * _WORDS)
+    bits = np.zeros(n * _WORDS, np.uint64)
+    slot = row * _WORDS + (place >> np.uint64(6)).astype(np.int64)
+    np.bitwise_xor.at(bits, slot, np.uint64(1) << (place & np.uint64(63)))
+    return bits.reshape(n, _WORDS)
+
+
 def _emit_members(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,7 +277,9 @@ def _emit_members(width: int):
                 values, row, rows = sets_of(data, offsets, width)
                 family, members, wanted = (batch.column(i).slice(first, stop - first) for i in range(3))
                 same = pa.array(classes_of(values, row, np.diff(rows)) == wanted.to_numpy(zero_copy_only=False))
+                bits = sketches(values, row, stop - first).ravel()
                 columns = [family, members, wanted, pa.array(np.diff(rows)), _list_column(values, rows)]
+                columns += [_list_column(bits, np.arange(stop - first + 1) * _WORDS)]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _MEMBERS.split(", ")]).filter(same)
 
     return run
@@ -371,13 +387,20 @@ def _large_links(rounds: Rounds, members: DataFrame, j: Fraction) -> DataFrame:
     pairs = found(probes.filter("outside"), index).union(found(tied, outer))
     pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = rounds.store(pairs, "candidates")
+    # Most candidates are apart by more shingles than a link allows, which their sketches show: whole sets follow few pairs.
+    short = members.select("class", "size", "sketch")
+    compared = pairs.join(short.toDF("u", "u_size", "u_bits"), "u").join(short.toDF("v", "v_size", "v_bits"), "v")
+    different = F.zip_with("u_bits", "v_bits", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    apart = F.aggregate(different, F.lit(0), lambda a, n: a + n)
+    possible = apart * d.denominator <= (F.col("u_size") + F.col("v_size")) * d.numerator
+    pairs = rounds.store(compared.filter(possible).select("u", "v").distinct(), "possible")
     own = members.select("class", "size", "shingles")
     checked = pairs.join(own.toDF("u", "u_size", "u_set"), "u").join(own.toDF("v", "v_size", "v_set"), "v")
     both = F.size(F.array_intersect("u_set", "v_set")).cast("long")
     alike = both * j.denominator >= (F.col("u_size") + F.col("v_size") - both) * j.numerator
     links = rounds.store(star.union(checked.filter(alike).select("u", "v")), "large-links")
-    del described, centres, star, items, probes, index, outer, tied, pairs, checked
-    rounds.drop("described", "centres", "candidates")
+    del described, centres, star, items, probes, index, outer, tied, pairs, compared, checked
+    rounds.drop("described", "centres", "candidates", "possible")
     return links
 
 

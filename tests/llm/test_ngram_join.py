@@ -116,3 +116,12 @@ def test_words_with_cancelling_differences_are_not_the_same(frame):
         texts = {1: word, 2: word.translate(str.maketrans("ab", "ba")), 3: word.upper()}
         found = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(frame(texts)).collect()}
         assert found == {1: 1, 2: 2, 3: 1}
+
+
+def test_sketches_never_differ_by_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a, b = (np.unique(rng.integers(0, 400, rng.integers(1, 300))).astype(np.uint64) for _ in range(2))
+        bits = ngram_join.sketches(np.concatenate((a, b)), np.repeat([0, 1], [len(a), len(b)]), 2)
+        differ = sum(int(x).bit_count() for x in bits[0] ^ bits[1])
+        assert differ <= len(np.setxor1d(a, b)) and (differ - len(np.setxor1d(a, b))) % 2 == 0
