@@ -275,7 +275,7 @@ def near_duplicates(
     by_key = (
         nodes.select("key", "node", "copies")
         .join(linked, "node", "left")
-        .join(components(links), "node", "left")
+        .join(components(links, rounds, "components"), "node", "left")
         .select("key", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     )
     by_key = rounds.store(by_key, "by-key")
