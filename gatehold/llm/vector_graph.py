@@ -3,13 +3,17 @@
 Vectors with equal labels are assigned to their two nearest centroids, so shards overlap. In each shard every vector gets
 a short list of neighbours: candidates from near to far, without those that are much nearer to a neighbour taken before.
 A tree of nearest pairs joins what the short lists leave apart, such as dense groups of more vectors than a list is
-chosen from. The lists of a vector from its shards are united. Then each shard is searched for all its vectors at once: a
-beam starts at the query's own node and at the shard's medoid, and from what it finds the search expands over neighbours
-within reach of the range. Every link is checked in double precision. Equal vectors are one node with a number of copies.
+chosen from. The lists of a vector from its shards are united. Then the shards are searched for all their vectors at once:
+a beam starts at the query's own node and at the shard's medoid, and from what it finds the search expands over
+neighbours within reach of the range. What it finds that lies in another shard too is where the search goes on in that
+shard, in the next round, until no query reaches a new shard. Every link is checked in double precision. Links are counted
+and tied to the least id inside the tasks, each found vector in its nearest shard, so pairs are never written. Equal
+vectors are one node with a number of copies.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +36,13 @@ BRANCHES = 8  # neighbours that the tree of a shard hangs on one vector for its
 BEAM = 32
 MARGIN = 0.06  # the range search also passes vectors so much below the limit
 
-_MEMBERS = "shard long, node long, vector array<double>"
+BLOCK = 128  # queries of a task that are searched together
+VISITS = 4096  # queries of a task
+
+_MEMBERS = "shard long, other long, home boolean, node long, copies long, vector array<double>"
 _LISTS = "node long, neighbours array<long>"
-_LINKS = "u long, v long"
+# Rows of three parts: 0 with the copies found, 1 with a link to the least id, 2 with a shard to visit.
+_FOUND = "part long, node long, found long, root long, shard long, seed long, cosine double"
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -140,28 +148,27 @@ def robust_prune_one(x: np.ndarray, i: int, row: np.ndarray) -> np.ndarray:
     return robust_prune(x, padded, 2 * DEGREE)[i]
 
 
-def range_search(x: np.ndarray, lists: list[np.ndarray], limit: float) -> np.ndarray:
-    """Pairs (query, found) with a cosine of `limit` or more that the graph over the unit vectors `x` leads to."""
-    n, width = len(x), max(1, max(map(len, lists)))
-    graph = np.full((n, width), -1, np.int64)
-    for i, row in enumerate(lists):
-        graph[i, : len(row)] = row
+def _greedy(x: np.ndarray, graph: np.ndarray, query: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row of `query`, position) of what greedy searches for the vectors at positions `query` find near the limit.
+
+    Each keeps a beam of the best, which starts at the medoid and at the query's own place.
+    """
+    n = len(query)
     medoid = int((x @ x.mean(axis=0)).argmax())
-    query = np.arange(n)
     beam = np.full((n, BEAM), -1, np.int64)
     score = np.full((n, BEAM), -np.inf)
     done = np.zeros((n, BEAM), bool)
-    beam[:, 0], score[:, 0] = medoid, x @ x[medoid]
+    beam[:, 0], score[:, 0] = medoid, x[query] @ x[medoid]
     beam[:, 1], score[:, 1] = np.where(query == medoid, -1, query), np.where(query == medoid, -np.inf, 1.0)
     for _ in range(4 * BEAM):
         waiting = np.where(done | (beam < 0), -np.inf, score)
         pick = waiting.argmax(axis=1)
-        active = np.flatnonzero(waiting[query, pick] > -np.inf)
+        active = np.flatnonzero(waiting[np.arange(n), pick] > -np.inf)
         if not len(active):
             break
         done[active, pick[active]] = True
         new = graph[beam[active, pick[active]]]
-        value = np.where(new >= 0, np.einsum("nrd,nd->nr", x[new], x[active]), -np.inf)
+        value = np.where(new >= 0, np.einsum("nrd,nd->nr", x[new], x[query[active]]), -np.inf)
         value[(new[:, :, None] == beam[active][:, None, :]).any(axis=2)] = -np.inf
         new = np.where(value > -np.inf, new, -1)
         ids, scores = np.concatenate((beam[active], new), 1), np.concatenate((score[active], value), 1)
@@ -170,36 +177,118 @@ def range_search(x: np.ndarray, lists: list[np.ndarray], limit: float) -> np.nda
         beam[active], score[active] = np.take_along_axis(ids, best, 1), np.take_along_axis(scores, best, 1)
         done[active] = np.take_along_axis(flags, best, 1)
     within = (beam >= 0) & (score >= limit - MARGIN)
-    seen = np.unique(query.repeat(within.sum(axis=1)) * n + beam[within])
-    frontier = seen
+    return np.arange(n).repeat(within.sum(axis=1)), beam[within]
+
+
+def _expanded(x: np.ndarray, graph: np.ndarray, asked: np.ndarray, rows: np.ndarray, at: np.ndarray, limit: float) -> np.ndarray:
+    """Cosines of the vectors `asked` (rows) with those of `x` (columns) that a range search meets, -inf for the others.
+
+    It starts from the given pairs and goes on over the neighbours of what is near the limit.
+    """
+    n = len(x)
+    value = np.full(len(asked) * n, -np.inf)
+    frontier = np.unique(rows * n + at)
+    value[frontier] = np.einsum("nd,nd->n", asked[frontier // n], x[frontier % n])
+    frontier = frontier[value[frontier] >= limit - MARGIN]
     while len(frontier):
         found = []
-        for part in np.array_split(frontier, max(1, len(frontier) // 20_000)):
-            q, at = part // n, part % n
-            to = graph[at]
-            q = np.broadcast_to(q[:, None], to.shape)[to >= 0]
-            keys = np.unique(q * n + to[to >= 0])
-            keys = keys[~np.isin(keys, seen, assume_unique=True)]
-            cosine = np.einsum("nd,nd->n", x[keys // n], x[keys % n])
-            found.append(keys[cosine >= limit - MARGIN])
-        frontier = np.unique(np.concatenate(found))
-        seen = np.union1d(seen, frontier)
-    q, at = seen // n, seen % n
-    good = (q != at) & (np.einsum("nd,nd->n", x[q], x[at]) >= limit)
-    return np.stack((q[good], at[good]), 1)
+        for part in np.array_split(frontier, max(1, len(frontier) // 50_000)):
+            to = graph[part % n]
+            keys = ((part // n * n)[:, None] + to)[to >= 0]
+            keys = keys[value[keys] == -np.inf]
+            new = np.zeros(len(value), bool)
+            new[keys] = True
+            keys = np.flatnonzero(new)
+            value[keys] = np.einsum("nd,nd->n", asked[keys // n], x[keys % n])
+            found.append(keys[value[keys] >= limit - MARGIN])
+        frontier = np.concatenate(found)
+    return value.reshape(len(asked), n)
+
+
+def _padded(lists: list[np.ndarray]) -> np.ndarray:
+    graph = np.full((len(lists), max(1, max(map(len, lists)))), -1, np.int64)
+    for i, row in enumerate(lists):
+        graph[i, : len(row)] = row
+    return graph
+
+
+def range_search(x: np.ndarray, lists: list[np.ndarray], limit: float) -> np.ndarray:
+    """Pairs (query, found) with a cosine of `limit` or more that the graph over the unit vectors `x` leads to."""
+    graph, pairs = _padded(lists), []
+    for a in range(0, len(x), BLOCK):
+        query = np.arange(a, min(a + BLOCK, len(x)))
+        value = _expanded(x, graph, x[query], *_greedy(x, graph, query, limit), limit)
+        value[query - a, query] = -np.inf
+        rows, at = np.nonzero(value >= limit)
+        pairs.append(np.stack((rows + a, at), 1))
+    return np.concatenate(pairs)
 
 
 def _search(limit: float):
-    def run(table: pa.Table) -> pa.Table:
-        nodes, x = table.column("node").to_numpy(), _matrix(table.column("vector"))
-        place = {v: i for i, v in enumerate(nodes.tolist())}
-        lists = [np.array([place[v] for v in row if v in place], np.int64) for row in table.column("neighbours").to_pylist()]
-        pairs = range_search(x, lists, limit)
-        return pa.table({"u": nodes[pairs[:, 0]], "v": nodes[pairs[:, 1]]})
+    """One round in one shard: the range search of its visitors among its members.
+
+    Gives for each visitor the copies of linked vectors that are at home here, for visitors and linked members the least
+    id of the links' component in this task, and for each visitor the other shards of what it found near the limit, with
+    the nearest such vector to start from there.
+    """
+
+    def run(members: pa.Table, visits: pa.Table) -> pa.Table:
+        names = [c.split()[0] for c in _FOUND.split(", ")]
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names]
+        if len(members) and len(visits):
+            nodes, x = members.column("node").to_numpy(), _matrix(members.column("vector"))
+            place = {v: i for i, v in enumerate(nodes.tolist())}
+            graph = _padded(
+                [np.array([place[v] for v in row if v in place], np.int64) for row in members.column("neighbours").to_pylist()]
+            )
+            here = np.where(members.column("home").to_numpy(zero_copy_only=False), members.column("copies").to_numpy(), 0)
+            other = members.column("other").to_numpy()
+            beyond = [(o, np.flatnonzero(other == o)) for o in np.unique(other[other >= 0]).tolist()]
+            ids, asked = visits.column("node").to_numpy(), _matrix(visits.column("vector"))
+            start = np.array([place[v] for v in visits.column("seed").to_pylist()], np.int64)
+            root, tied = nodes.copy(), np.full(len(ids), -1, np.int64)
+            linked_member = np.zeros(len(nodes), bool)
+            for a in range(0, len(ids), BLOCK):
+                block, own = ids[a : a + BLOCK], start[a : a + BLOCK]
+                member = nodes[own] == block
+                rows, at = np.flatnonzero(~member), own[~member]
+                if member.any():
+                    more, to = _greedy(x, graph, own[member], limit)
+                    rows, at = np.concatenate((rows, np.flatnonzero(member)[more])), np.concatenate((at, to))
+                value = _expanded(x, graph, asked[a : a + BLOCK], rows, at, limit)
+                value[np.flatnonzero(member), own[member]] = 1.0
+                linked = value >= limit
+                count = linked @ here - np.where(member, here[own], 0)
+                for i in np.flatnonzero(linked.any(axis=1)).tolist():
+                    to = np.flatnonzero(linked[i])
+                    groups = np.unique(root[to])
+                    least = min(int(groups[0]), int(block[i]))
+                    if len(groups) > 1 or least < groups[0]:
+                        root[np.isin(root, groups)] = least
+                    tied[a + i] = to[0]
+                    linked_member[to] = True
+                _add(out, node=block, found=count, part=np.zeros(len(block), np.int64))
+                for o, columns in beyond:
+                    near = value[:, columns]
+                    best = near.argmax(axis=1)
+                    rows = np.flatnonzero(near.max(axis=1) >= limit - MARGIN)
+                    _add(out, node=block[rows], part=np.full(len(rows), 2), shard=np.full(len(rows), o),
+                         seed=nodes[columns[best[rows]]], cosine=near[rows, best[rows]])
+            tie = np.flatnonzero(tied >= 0)
+            _add(out, node=ids[tie], part=np.ones(len(tie), np.int64), root=root[tied[tie]])
+            _add(out, node=nodes[linked_member], part=np.ones(int(linked_member.sum()), np.int64), root=root[linked_member])
+        kinds = [pa.float64() if n == "cosine" else pa.int64() for n in names]
+        return pa.table({n: pa.array(np.concatenate(c), k) for n, c, k in zip(names, out, kinds)})
 
     return run
 
 
+def _add(out: list[list[np.ndarray]], **columns: np.ndarray) -> None:
+    """Rows of the given columns; the others are zero."""
+    for name, column in zip((c.split()[0] for c in _FOUND.split(", ")), out):
+        column.append(columns.get(name, np.zeros(len(columns["node"]), np.int64)))
+
+
 def nodes_of(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows with the key of their node, nodes with the number of their copies) of a table of vectors."""
     x = quoted(vector_col).cast("array<double>")
@@ -254,24 +343,42 @@ def near_duplicates(
             names = np.array(batch.column(0).to_pylist(), object)
             for name in sorted(set(names)):
                 own = pa.array(np.flatnonzero(names == name))
-                node, vector = batch.column(1).take(own), batch.column(2).take(own)
+                node, copies, vector = (batch.column(i).take(own) for i in (1, 2, 3))
                 start, found = shared.value[name]
                 nearest = np.zeros((len(node), 1), np.int64)
                 if len(found) > 1:
                     width = min(OVERLAP, len(found))
-                    nearest = np.argsort(-(_matrix(vector) @ found.T), axis=1)[:, :width]
-                for column in nearest.T:
-                    yield pa.RecordBatch.from_arrays([pa.array(start + column), node, vector], ["shard", "node", "vector"])
-
-    members = rounds.store(nodes.select(space, "node", "vector").mapInArrow(assign, _MEMBERS), "members")
+                    nearest = np.argsort(-(_matrix(vector) @ found.T), axis=1, kind="stable")[:, :width]
+                for at, column in enumerate(nearest.T):
+                    other = start + nearest[:, 1 - at] if nearest.shape[1] > 1 else np.full(len(node), -1)
+                    home = pa.array(np.full(len(node), at == 0))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(start + column), pa.array(other), home, node, copies, vector],
+                        [c.split()[0] for c in _MEMBERS.split(", ")],
+                    )
+
+    members = rounds.store(nodes.select(space, "node", "copies", "vector").mapInArrow(assign, _MEMBERS), "members")
     lists = members.groupBy("shard").applyInArrow(_build, _LISTS)
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
-    united = rounds.store(united, "graph")
-    links = members.join(united, "node").select("shard", "node", "vector", "neighbours")
-    links = links.groupBy("shard").applyInArrow(_search(limit), _LINKS)
-    links = rounds.store(links.union(links.select("v", "u")).distinct(), "links")
-    copies = nodes.select(F.col("node").alias("v"), "copies")
-    linked = links.join(copies, "v").groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("linked"))
+    indexed = rounds.store(members.join(united, "node"), "graph")
+    visits = visited = rounds.store(indexed.select("shard", "node", F.col("node").alias("seed")), "visits-0")
+    found = None
+    for n in itertools.count():
+        parts = visits.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / VISITS).alias("parts"))
+        parts = rounds.store(parts, f"parts-{n}")
+        asked = visits.join(parts, "shard").withColumn("at", F.pmod(F.xxhash64("node"), "parts")).drop("parts")
+        asked = asked.join(nodes.select("node", "vector"), "node").groupBy("shard", "at")
+        among = indexed.join(parts, "shard").withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        met = among.groupBy("shard", "at").cogroup(asked).applyInArrow(_search(limit), _FOUND)
+        met = rounds.store(met, f"found-{n}")
+        found = met if found is None else found.union(met)
+        onward = met.filter("part = 2").groupBy("shard", "node").agg(F.max_by("seed", F.struct("cosine", "seed")).alias("seed"))
+        visits = rounds.store(onward.join(visited.select("shard", "node"), ["shard", "node"], "left_anti"), f"visits-{n + 1}")
+        visited = visited.union(visits)
+        if visits.isEmpty():
+            break
+    linked = found.filter("part = 0").groupBy("node").agg(F.sum("found").alias("linked"))
+    links = found.filter("part = 1 and node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
     by_key = (
         nodes.select("key", "node", "copies")
         .join(linked, "node", "left")
@@ -279,8 +386,9 @@ def near_duplicates(
         .select("key", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     )
     by_key = rounds.store(by_key, "by-key")
-    del members, lists, united, links, linked
-    rounds.drop("members", "graph")
+    del members, lists, united, indexed, visits, visited, found, met, onward, asked, among, parts, links, linked
+    steps = [f"{label}-{i}" for label in ("parts", "found", "visits") for i in range(n + 1)]
+    rounds.drop("members", "graph", "components", *steps, f"visits-{n + 1}", "nodes")
     component = F.coalesce("component_id", "vec_id")
     return rows.join(by_key, "key", "left").select(
         "vec_id",

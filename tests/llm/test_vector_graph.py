@@ -104,3 +104,16 @@ def test_groups_in_one_label(spark):
     assert vector_graph.audit(df, got, queries=len(rows)) >= 0.99
     want = brute(rows)
     assert all(r["component_id"] == want[r["vec_id"]][1] for r in got.collect())
+
+
+def test_a_dense_group_over_many_shards(spark):
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=64)
+    x = np.concatenate([centre + 0.22 * rng.normal(size=(3000, 64)), rng.normal(size=(600, 64))])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    want = brute(rows)
+    got = {r["vec_id"]: r for r in vector_graph.near_duplicates(df).collect()}
+    assert sum(n for n, _ in want.values()) > 4_000_000
+    assert sum(r["n_links"] for r in got.values()) >= 0.98 * sum(n for n, _ in want.values())
+    assert all(got[i]["n_links"] <= n and got[i]["component_id"] == c for i, (n, c) in want.items())
