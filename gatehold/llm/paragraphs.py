@@ -1,12 +1,22 @@
-"""Removing paragraphs that repeat, exactly or nearly, within and across documents.
+"""Removing paragraphs that repeat, exactly or nearly, within and across documents, and long passages inside of them.
 
-A paragraph is a line. Its 5-word shingles get MinHash values whose bands are hashed; paragraphs that collide in a band
-are candidates, and the exact Jaccard similarity of their shingle sets decides. Of each component of similar paragraphs
-the first one stays. Paragraphs with equal sets are one class, so copies are only counted.
+A paragraph is a line of `MIN_WORDS` words or more. Its 5-word shingles get MinHash values whose bands are hashed;
+paragraphs that collide in a band are candidates, and the exact Jaccard similarity of their shingle sets decides. Of each
+component of similar paragraphs the first one stays. Paragraphs with equal sets are one class, so copies are only counted.
+
+Not all pairs of a bucket are written. Each bucket is compared with its centre, the class that collides most. Classes
+that are in the centre's component then need no more comparisons with each other; each of the others becomes a centre in
+a later round and is compared with all of the bucket that is not in its component yet. So in the end two classes of a
+bucket have been compared or are in one component, whatever the bucket's size.
+
+A passage inside a line is found by windows of words that its content chooses: of `WINDOW` windows in a row the one with the
+least hash. Documents that share `2 * WINDOW - 1` words or more in a row share a chosen window, and in a shared passage
+chosen windows leave no gaps; at its two ends fewer than `WINDOW` words each may stay.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -16,16 +26,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatehold.llm.columns import documents, extended, fresh, quoted
-from gatehold.llm.ngram_join import class_components, classes_of, sets_of
-from gatehold.llm.rolling import blocks, mix, row_of, word_spans
+from gatehold.llm.graph import components
+from gatehold.llm.ngram_join import classes_of, sets_of
+from gatehold.llm.rolling import blocks, mix, row_of, shingles, word_hashes, word_spans
 from gatehold.llm.storage import Rounds
 
 WIDTH = 5
 SIMILARITY = Fraction(4, 5)
+MIN_WORDS = 20  # shorter lines are headings or stock sentences, which good documents share
+WINDOW = 25
 # At a similarity of 0.8, 1 - (1 - 0.8 ** ROWS) ** BANDS = 99.6 % of the pairs collide.
 BANDS = 14
 ROWS = 5
+_MORE = 8  # times as many centres in a bucket in each round
 
+_SETS = "class long, size long, shingles array<long>"
+_CHOSEN = "doc_id long, at int, window long"
 _PARAGRAPHS = "doc_id long, paragraph int, class long, size long, bands array<long>"
 
 
@@ -55,7 +71,7 @@ def minhash_bands(values: np.ndarray, rows: np.ndarray, bands: int = BANDS, per_
     return out
 
 
-def _emit_paragraphs(width: int):
+def _emit_paragraphs(width: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -63,7 +79,7 @@ def _emit_paragraphs(width: int):
                 at, row, number = lines(data, offsets)
                 _, _, word_rows = word_spans(data, at)
                 values, _, rows = sets_of(data, at, width)
-                keep = np.diff(word_rows) >= width  # shorter lines are no paragraphs
+                keep = np.diff(word_rows) >= min_words  # shorter lines are no paragraphs
                 size = np.diff(rows)
                 classes = classes_of(values, row_of(rows), size)
                 new = keep & np.array([not (c in seen or seen.add(c)) for c in np.where(keep, classes, 0).tolist()], bool)
@@ -83,23 +99,125 @@ def _emit_paragraphs(width: int):
     return run
 
 
-def _pick_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (family, members, class, large, text) of the wanted lines of each text."""
-    for batch in batches:
-        out: list[list] = [[] for _ in range(5)]
-        for text, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            parts = (text or "").split("\n")
-            for i in items:
-                if i["paragraph"] < len(parts):
-                    for column, v in zip(out, (i["family"], i["members"], i["class"], i["large"], parts[i["paragraph"]])):
-                        column.append(v)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(out, kinds)], ["family", "members", "class", "large", "text"]
-        )
+def chosen_windows(hashes: np.ndarray, rows: np.ndarray, width: int) -> np.ndarray:
+    """Indexes of the hashes that are the least of `width` in a row, all within one row; a shorter row has none."""
+    if len(hashes) < width:
+        return np.zeros(0, np.int64)
+    least, reach = hashes, 1
+    while reach < width:  # least[i] is that of hashes[i : i + reach]
+        step = min(reach, width - reach)
+        least, reach = np.minimum(least[: len(least) - step], least[step:]), reach + step
+    starts = np.arange(len(least))
+    starts = starts[starts + width <= rows[1:][np.searchsorted(rows, starts, side="right") - 1]]
+    picked = np.zeros(len(hashes), bool)
+    for i in range(width):
+        picked[starts[hashes[starts + i] == least[starts]] + i] = True
+    return np.flatnonzero(picked)
+
+
+def _emit_windows(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, stop, data, offsets in blocks(batch.column(1)):
+                words, word_rows = word_hashes(data, offsets)
+                hashes, rows = shingles(words, word_rows, width)
+                at = chosen_windows(hashes, rows, width)
+                row = np.searchsorted(rows, at, side="right") - 1
+                ids = batch.column(0).take(pa.array(first + row))
+                columns = [ids, pa.array((at - rows[row]).astype(np.int32)), pa.array(hashes[at].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "window"])
+
+    return run
+
+
+def repeated_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
+    """(doc_id, at) of chosen windows that also stand in a document with a smaller id: `width` words from word `at` on.
+
+    Documents without an id take no part. Acts at once.
+    """
+    rounds = Rounds(docs.sparkSession)
+    rows = rounds.store(docs.filter("doc_id is not null").mapInArrow(_emit_windows(width), _CHOSEN), "windows")
+    shared = rows.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    shared = shared.filter("least < most").select("window", "least")
+    found = rounds.store(rows.join(shared, "window").filter("doc_id > least").select("doc_id", "at").distinct(), "passages")
+    del rows, shared
+    rounds.drop("windows")
+    return found
+
 
+def _pick_sets(width: int):
+    """Rows (class, size, shingles) of the wanted lines of each text; a line that is of another class is passed over."""
 
-def repeated_paragraphs(docs: DataFrame, width: int = WIDTH, similarity: Fraction = SIMILARITY) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, classes = [], []
+            for text, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                parts = (text or "").split("\n")
+                for i in items:
+                    if i["paragraph"] < len(parts):
+                        texts.append(parts[i["paragraph"]])
+                        classes.append(i["class"])
+            for first, stop, data, offsets in blocks(pa.array(texts, pa.string())):
+                values, _, rows = sets_of(data, offsets, width)
+                size = np.diff(rows)
+                wanted = np.array(classes[first:stop], np.int64)
+                same = classes_of(values, row_of(rows), size) == wanted
+                sets = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(wanted), pa.array(size), sets], ["class", "size", "shingles"]
+                ).filter(pa.array(same))
+
+    return run
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
+    """The pairs (u, v) whose sets are similar enough."""
+    own = sets.select("class", "size", "shingles")
+    joined = pairs.join(own.toDF("u", "u_size", "u_set"), "u").join(own.toDF("v", "v_size", "v_set"), "v")
+    both = F.size(F.array_intersect("u_set", "v_set")).cast("long")
+    alike = both * j.denominator >= (F.col("u_size") + F.col("v_size") - both) * j.numerator
+    return joined.filter(alike).select("u", "v")
+
+
+def _bucket_components(rounds: Rounds, buckets: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
+    """(node, component) over the similar pairs of classes among buckets (band, class, size, weight)."""
+    known, asked, centres, first = None, None, None, None
+    state = buckets.withColumn("component", F.col("class"))
+    for n in itertools.count():
+        if n:
+            state = buckets.join(known.withColumnRenamed("node", "class"), "class", "left")
+            state = rounds.store(state.withColumn("component", F.coalesce("component", "class")), f"state-{n}")
+            main = first.join(state, ["band", "class"]).select("band", F.col("component").alias("main"))
+            left = state.join(main, "band").filter("component != main").join(asked, ["band", "class"], "left_anti")
+        else:
+            left = state
+        slot = F.pmod(F.xxhash64("class"), F.lit(_MORE**n))
+        best = F.max(F.struct("weight", "class", "size", "component")).alias("best")
+        centres = left.groupBy("band", slot.alias("slot")).agg(best).select(
+            "band", F.col("best.class").alias("v"), F.col("best.size").alias("v_size"), F.col("best.component").alias("v_component")
+        )
+        centres = rounds.store(centres, f"centres-{n}")
+        if n and centres.isEmpty():
+            break
+        new = centres.select("band", F.col("v").alias("class"))
+        first, asked = (new, new) if first is None else (first, asked.union(new))
+        sizes = F.least("size", "v_size") * j.denominator >= F.greatest("size", "v_size") * j.numerator
+        pairs = state.join(centres, "band").filter((F.col("component") != F.col("v_component")) & sizes)
+        pairs = rounds.store(pairs.select(F.col("class").alias("u"), "v").distinct(), f"pairs-{n}")
+        links = _verified(pairs, sets, j)
+        if known is not None:
+            links = links.union(known.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        known = components(links, rounds, f"components-{n}")
+        del pairs, links
+        rounds.drop(f"pairs-{n}", *([f"state-{n}", f"components-{n - 1}"] if n else []))
+    del state, main, left, new, centres, first, asked
+    rounds.drop(f"state-{n}", *(f"centres-{i}" for i in range(n + 1)))
+    return known
+
+
+def repeated_paragraphs(
+    docs: DataFrame, width: int = WIDTH, similarity: Fraction = SIMILARITY, min_words: int = MIN_WORDS
+) -> DataFrame:
     """(doc_id, paragraph) of the lines that are not the first of their component, from documents (doc_id, text).
 
     Lines are numbered from 0 in their document; the first of a component is the one with the least document id, then
@@ -107,65 +225,109 @@ def repeated_paragraphs(docs: DataFrame, width: int = WIDTH, similarity: Fractio
     """
     rounds = Rounds(docs.sparkSession)
     docs = docs.filter("doc_id is not null")
-    rows = rounds.store(docs.mapInArrow(_emit_paragraphs(width), _PARAGRAPHS), "paragraphs")
-    bands = rows.select("class", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("most"))
-    shared = rounds.store(shared.filter("least < most").select("band", "least"), "shared")
-    links = bands.join(shared, "band").filter("class != least").select("class", "least").distinct()
-    links = rounds.store(links.toDF("u", "v"), "same-band")
-    del bands, shared
-    rounds.drop("shared")
+    rows = rounds.store(docs.mapInArrow(_emit_paragraphs(width, max(min_words, width)), _PARAGRAPHS), "paragraphs")
+    bands = rows.select("class", "size", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.count(F.lit(1)).alias("n"))
+    shared = rounds.store(shared.filter("least < most").select("band", "n"), "shared")
+    # Tasks that meet a class each give its bands, so a class may be there more than once until here.
+    buckets = rounds.store(bands.join(shared, "band").groupBy("band", "class", "size").agg(F.max("n").alias("n")), "colliding")
+    weights = buckets.groupBy("class").agg(F.sum("n").alias("weight"))
+    buckets = rounds.store(buckets.drop("n").join(weights, "class"), "buckets")
+    del bands, shared, weights
+    rounds.drop("shared", "colliding")
+    kept = rounds.store(rows.select("doc_id", "paragraph", "class"), "lines")
+    del rows
+    rounds.drop("paragraphs")
     first = F.min(F.struct("doc_id", "paragraph")).alias("first_id")
-    classes = rounds.store(rows.groupBy("class").agg(first, F.max("size").alias("size")), "classes")
-
-    def fetch(wanted: DataFrame) -> DataFrame:
-        item = F.struct(F.col("first_id.paragraph").alias("paragraph"), "family", "members", "class", "large")
-        by_doc = wanted.groupBy(F.col("first_id.doc_id").alias("doc_id")).agg(F.collect_list(item).alias("items"))
-        found = docs.join(by_doc.hint("merge"), "doc_id").select("text", "items")
-        return found.mapInArrow(_pick_lines, "family long, members long, class long, large boolean, text string")
-
-    found = class_components(rounds, classes, links, fetch, width, similarity)
+    classes = rounds.store(kept.groupBy("class").agg(first), "classes")
+    wanted = classes.join(buckets.select("class").distinct(), "class")
+    item = F.struct(F.col("first_id.paragraph").alias("paragraph"), "class")
+    by_doc = wanted.groupBy(F.col("first_id.doc_id").alias("doc_id")).agg(F.collect_list(item).alias("items"))
+    texts = docs.join(by_doc.hint("merge"), "doc_id").select("text", "items")
+    sets = rounds.store(texts.mapInArrow(_pick_sets(width), _SETS).dropDuplicates(["class"]), "sets")
+    found = _bucket_components(rounds, buckets, sets, similarity).withColumnRenamed("node", "class")
     joined = classes.join(found, "class", "left").select("class", "first_id", F.coalesce("component", "class").alias("component"))
     joined = rounds.store(joined, "joined")
     least = joined.groupBy("component").agg(F.min("first_id").alias("stays"))
     least = rounds.store(joined.join(least, "component").select("class", "stays"), "stays")
-    del links, found, joined
-    rounds.drop("same-band", "classes", "small-components", "large-components", "joined")
-    return rows.join(least, "class").filter(F.struct("doc_id", "paragraph") != F.col("stays")).select("doc_id", "paragraph")
+    result = kept.join(least, "class").filter(F.struct("doc_id", "paragraph") != F.col("stays")).select("doc_id", "paragraph")
+    result = rounds.store(result.distinct(), "repeated")
+    del kept, classes, wanted, by_doc, texts, sets, buckets, found, joined, least
+    rounds.clear("repeated")
+    return result
+
+
+def _without(text: bytes, at: np.ndarray, cut: set[int], width: int) -> tuple[str, int]:
+    """(the text without the lines of `cut` and the windows that start at words `at`, number of runs of words cut from other lines)."""
+    data = np.frombuffer(text, np.uint8)
+    ends = np.append(np.flatnonzero(data == 0x0A), len(data))
+    starts = np.append(0, ends[:-1] + 1)
+    gone = np.zeros(len(data) + 1, bool)
+    first, last, _ = word_spans(data, np.array([0, len(data)]))
+    at = np.sort(at[at + width <= len(first)])  # rows that share an id may be shorter
+    cover = np.zeros(len(first) + 1, np.int64)
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + width, -1)
+    covered = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
+    line = np.searchsorted(ends, first[covered])
+    own = ~np.isin(line, np.fromiter(cut, np.int64, len(cut)))
+    covered, line = covered[own], line[own]
+    # A run ends where a word or the line does.
+    head = np.ones(len(covered), bool)
+    head[1:] = (np.diff(covered) > 1) | (np.diff(line) > 0)
+    tail = np.append(head[1:], True)[: len(head)]
+    for b, e in zip(first[covered[head]].tolist(), last[covered[tail]].tolist()):
+        gone[b:e] = True
+    kept = [data[b:e][~gone[b:e]].tobytes() for i, (b, e) in enumerate(zip(starts.tolist(), ends.tolist())) if i not in cut]
+    return b"\n".join(kept).decode("utf-8"), int(head.sum())
 
 
 def remove_paragraphs(
-    docs: DataFrame, width: int = WIDTH, similarity: Fraction = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    width: int = WIDTH,
+    similarity: Fraction = SIMILARITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_words: int = MIN_WORDS,
+    window: int | None = WINDOW,
 ) -> DataFrame:
-    """All rows and columns of `docs` with n_paragraphs, n_removed (long), removed (line numbers) and kept_text.
+    """All rows and columns of `docs` with n_paragraphs, n_removed (long), removed (line numbers), n_passages (long) and kept_text.
 
-    Lines with fewer than `width` words are no paragraphs and always stay. A null text counts as empty; a document
-    without an id keeps all its lines. Rows that share an id are taken for copies of one document, so the same lines of
+    Lines with fewer than `min_words` words, or than `width`, are no paragraphs. Repeated paragraphs go as a whole. From lines
+    that stay, windows of `window` words that a document with a smaller id has too are cut (none if None); n_passages is the
+    number of such runs of words, n_removed that of removed lines and runs. A null text counts as empty; a document
+    without an id stays as it is. Rows that share an id are taken for copies of one document, so the same lines of
     each go. Where `docs` has such a column, underscores are added to the new one.
     """
-    names, own = fresh(docs, "n_paragraphs", "n_removed", "removed", "kept_text"), docs.columns
-    key, text, gone = fresh(docs, "__id", "__text", "__gone")
-    repeated = repeated_paragraphs(documents(docs, id_col, text_col), width, similarity)
-    by_doc = repeated.distinct().groupBy(F.col("doc_id").alias(key)).agg(F.collect_set("paragraph").alias(gone))
+    names, own = fresh(docs, "n_paragraphs", "n_removed", "removed", "n_passages", "kept_text"), docs.columns
+    key, text, gone, places = fresh(docs, "__id", "__text", "__gone", "__places")
+    texts = documents(docs, id_col, text_col)
+    at_least = max(min_words, width)
+    gone_lines = repeated_paragraphs(texts, width, similarity, min_words).select("doc_id", "paragraph", F.lit(None).cast("int").alias("at"))
+    both = gone_lines
+    if window is not None:
+        both = both.unionByName(repeated_windows(texts, window).select("doc_id", F.lit(None).cast("int").alias("paragraph"), "at"))
+    by_doc = both.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set("paragraph").alias(gone), F.collect_set("at").alias(places))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(4)]
+            out: list[list] = [[] for _ in names]
             for first, stop, data, offsets in blocks(batch.column(len(own))):
                 at, row, _ = lines(data, offsets)
-                words = np.diff(word_spans(data, at)[2]) >= width
+                words = np.diff(word_spans(data, at)[2]) >= at_least
                 count = np.bincount(row[words], minlength=stop - first)
-                texts, cuts = (batch.column(len(own) + i).slice(first, stop - first).to_pylist() for i in (0, 1))
-                for n, body, cut in zip(count.tolist(), texts, cuts):
-                    cut = set(cut or ())
-                    kept = "\n".join(x for i, x in enumerate(body.split("\n")) if i not in cut) if cut else body
-                    for column, v in zip(out, (n, len(cut), sorted(cut), kept)):
+                bodies, cuts, starts = (batch.column(len(own) + i).slice(first, stop - first).to_pylist() for i in range(3))
+                for n, body, cut, windows in zip(count.tolist(), bodies, cuts, starts):
+                    cut, kept, runs = set(cut or ()), body, 0
+                    if cut or windows:
+                        kept, runs = _without(body.encode(), np.array(windows, np.int64), cut, window or 1)
+                    for column, v in zip(out, (n, len(cut) + runs, sorted(cut), runs, kept)):
                         column.append(v)
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string()]
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.string()]
             new = [pa.array(c, k) for c, k in zip(out, kinds)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(own))), *new], [*own, *names])
 
     content = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
     joined = docs.withColumns({key: quoted(id_col).cast("long"), text: content}).join(by_doc.hint("merge"), key, "left")
-    schema = extended(docs.schema, *zip(names, ("long", "long", "array<int>", "string")))
-    return joined.select(*map(quoted, own), text, gone).mapInArrow(run, schema)
+    schema = extended(docs.schema, *zip(names, ("long", "long", "array<int>", "long", "string")))
+    return joined.select(*map(quoted, own), text, gone, places).mapInArrow(run, schema)

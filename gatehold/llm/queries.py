@@ -40,7 +40,7 @@ def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = paragraphs.remove_paragraphs(_documents(spark, folder).select("doc_id", "text"))
     digest = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
-    return cleaned.select("doc_id", "n_paragraphs", "n_removed", "removed", digest)
+    return cleaned.select("doc_id", "n_paragraphs", "n_removed", "removed", "n_passages", digest)
 
 
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:

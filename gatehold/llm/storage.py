@@ -40,6 +40,6 @@ class Rounds:
         gc.collect()
         jvm.System.gc()
 
-    def clear(self) -> None:
-        """Delete all tables that are left, once nothing lazy reads them any more."""
-        self.drop(*self._tables)
+    def clear(self, *kept: str) -> None:
+        """Delete all tables that are left but `kept`, once nothing lazy reads them any more."""
+        self.drop(*(label for label in self._tables if label not in kept))
