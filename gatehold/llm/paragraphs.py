@@ -5,8 +5,8 @@ paragraphs that collide in a band are candidates, and the exact Jaccard similari
 component of similar paragraphs the first one stays. Paragraphs with equal sets are one class, so copies are only counted.
 
 Not all pairs of a bucket are written. Each bucket is compared with its centre, the class that collides most. Classes
-that are in the centre's component then need no more comparisons with each other; each of the others becomes a centre in
-a later round and is compared with all of the bucket that is not in its component yet. So in the end two classes of a
+that lead to the same class by links then need no more comparisons with each other; each of the others becomes a centre in
+a later round and is compared with all of the bucket that does not lead there. So in the end two classes of a
 bucket have been compared or are in one component, whatever the bucket's size.
 
 A passage inside a line is found by windows of words that its content chooses: of `WINDOW` windows in a row the one with the
@@ -179,13 +179,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
     return joined.filter(alike).select("u", "v")
 
 
+def _leaders(rounds: Rounds, links: DataFrame, label: str) -> DataFrame:
+    """(class, component) for links (u, v): the least class in two steps, the same for all that are linked with one centre."""
+    both = links.union(links.select("v", "u")).toDF("u", "v")
+    near = rounds.store(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "near")
+    found = both.join(near.toDF("v", "m"), "v").groupBy(F.col("u").alias("class")).agg(F.min("m").alias("component"))
+    found = rounds.store(found, label)
+    del near
+    rounds.drop("near")
+    return found
+
+
 def _bucket_components(rounds: Rounds, buckets: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
     """(node, component) over the similar pairs of classes among buckets (band, class, size, weight)."""
-    known, asked, centres, first = None, None, None, None
+    links, known, asked, first = None, None, None, None
     state = buckets.withColumn("component", F.col("class"))
     for n in itertools.count():
         if n:
-            state = buckets.join(known.withColumnRenamed("node", "class"), "class", "left")
+            state = buckets.join(known, "class", "left")
             state = rounds.store(state.withColumn("component", F.coalesce("component", "class")), f"state-{n}")
             main = first.join(state, ["band", "class"]).select("band", F.col("component").alias("main"))
             left = state.join(main, "band").filter("component != main").join(asked, ["band", "class"], "left_anti")
@@ -204,15 +215,12 @@ def _bucket_components(rounds: Rounds, buckets: DataFrame, sets: DataFrame, j: F
         sizes = F.least("size", "v_size") * j.denominator >= F.greatest("size", "v_size") * j.numerator
         pairs = state.join(centres, "band").filter((F.col("component") != F.col("v_component")) & sizes)
         pairs = rounds.store(pairs.select(F.col("class").alias("u"), "v").distinct(), f"pairs-{n}")
-        links = _verified(pairs, sets, j)
-        if known is not None:
-            links = links.union(known.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        known = components(links, rounds, f"components-{n}")
-        del pairs, links
-        rounds.drop(f"pairs-{n}", *([f"state-{n}", f"components-{n - 1}"] if n else []))
-    del state, main, left, new, centres, first, asked
-    rounds.drop(f"state-{n}", *(f"centres-{i}" for i in range(n + 1)))
-    return known
+        new = rounds.store(_verified(pairs, sets, j), f"links-{n}")
+        links = new if links is None else links.union(new)
+        known = _leaders(rounds, links, f"leaders-{n}")
+        del pairs
+        rounds.drop(f"pairs-{n}", *([f"state-{n}", f"leaders-{n - 1}"] if n else []))
+    return components(links, rounds, "components")
 
 
 def repeated_paragraphs(
