@@ -220,7 +220,11 @@ def _bucket_components(rounds: Rounds, buckets: DataFrame, sets: DataFrame, j: F
         known = _leaders(rounds, links, f"leaders-{n}")
         del pairs
         rounds.drop(f"pairs-{n}", *([f"state-{n}", f"leaders-{n - 1}"] if n else []))
-    return components(links, rounds, "components")
+    # Most links are within one leader's class by now; only those between leaders are left to follow.
+    ends = known.select("class", "component")
+    between = links.join(ends.toDF("u", "a"), "u").join(ends.toDF("v", "b"), "v").filter("a != b").select("a", "b")
+    top = components(between.toDF("u", "v"), rounds, "components").toDF("component", "top")
+    return known.join(top, "component", "left").select(F.col("class").alias("node"), F.coalesce("top", "component").alias("component"))
 
 
 def repeated_paragraphs(
