@@ -5,9 +5,11 @@ paragraphs that collide in a band are candidates, and the exact Jaccard similari
 component of similar paragraphs the first one stays. Paragraphs with equal sets are one class, so copies are only counted.
 
 Not all pairs of a bucket are written. Each bucket is compared with its centre, the class that collides most. Classes
-that lead to the same class by links then need no more comparisons with each other; each of the others becomes a centre in
-a later round and is compared with all of the bucket that does not lead there. So in the end two classes of a
-bucket have been compared or are in one component, whatever the bucket's size.
+that lead to the same class by links then need no more comparisons with each other. Pairs with one of the others are found
+by their differences from the centre: sets whose differences are many, together, are only similar if they share about half
+of them, so the two share one of the first few in an order that has the shingles the centre lacks first. Lists of classes
+by these few are joined, parity sketches pass over most pairs, the others are compared. So in the end two similar classes
+of a bucket have been compared or are in one component, whatever the bucket's size.
 
 A passage inside a line is found by windows of words that its content chooses: of `WINDOW` windows in a row the one with the
 least hash. Documents that share `2 * WINDOW - 1` words or more in a row share a chosen window, and in a shared passage
@@ -16,7 +18,6 @@ chosen windows leave no gaps; at its two ends fewer than `WINDOW` words each may
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gatehold.llm.columns import documents, extended, fresh, quoted
 from gatehold.llm.graph import components
-from gatehold.llm.ngram_join import classes_of, sets_of
+from gatehold.llm.ngram_join import classes_of, sets_of, sketches
 from gatehold.llm.rolling import blocks, mix, row_of, shingles, word_hashes, word_spans
 from gatehold.llm.storage import Rounds
 
@@ -38,9 +39,9 @@ WINDOW = 25
 # At a similarity of 0.8, 1 - (1 - 0.8 ** ROWS) ** BANDS = 99.6 % of the pairs collide.
 BANDS = 14
 ROWS = 5
-_MORE = 8  # times as many centres in a bucket in each round
+_SKETCH = 4  # words of 64 bits
 
-_SETS = "class long, size long, shingles array<long>"
+_SETS = "class long, size long, shingles array<long>, " + ", ".join(f"s{i} long" for i in range(_SKETCH))
 _CHOSEN = "doc_id long, at int, window long"
 _PARAGRAPHS = "doc_id long, paragraph int, class long, size long, bands array<long>"
 
@@ -163,9 +164,11 @@ def _pick_sets(width: int):
                 wanted = np.array(classes[first:stop], np.int64)
                 same = classes_of(values, row_of(rows), size) == wanted
                 sets = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(wanted), pa.array(size), sets], ["class", "size", "shingles"]
-                ).filter(pa.array(same))
+                bits = sketches(values, row_of(rows), len(size))
+                # Parities fold into fewer.
+                bits = np.bitwise_xor.reduce(bits.reshape(len(size), -1, _SKETCH), axis=1).view(np.int64)
+                columns = [pa.array(wanted), pa.array(size), sets, *(pa.array(np.ascontiguousarray(b)) for b in bits.T)]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SETS.split(", ")]).filter(pa.array(same))
 
     return run
 
@@ -190,36 +193,100 @@ def _leaders(rounds: Rounds, links: DataFrame, label: str) -> DataFrame:
     return found
 
 
+def _compared(pairs: DataFrame, sets: DataFrame, d: Fraction) -> DataFrame:
+    """Pairs (u, v) of a class and its centre with `away`, the number of shingles in one of both only, `alike`, and `first`
+    and `all`: how many of them a similar class may have to share one of, if it is or is not among those linked with v.
+
+    `differences` are the first `all` of these shingles, those that v lacks before those that u lacks, each in the order of sets.
+    """
+    own = sets.select("class", "size", "shingles")
+    joined = pairs.join(sets.withColumnsRenamed({"class": "u", "shingles": "u_set"}), "u").join(own.toDF("v", "v_size", "v_set"), "v")
+    joined = joined.withColumn("both", F.concat(F.array_except("u_set", "v_set"), F.array_except("v_set", "u_set")))
+    away, num, den = F.size("both").cast("long"), d.numerator, d.denominator
+    over = away * den - (F.col("size") + F.col("v_size")) * num
+    # Similar sets share half of what their differences have over the limit; one of the two is not similar to v.
+    first = away + 1 - F.ceil((away * den + (F.col("v_size") - F.col("size")) * num + 1) / (2 * den))
+    most = F.when(over <= 0, first).otherwise(away + 1 - F.ceil(over / (2 * den)))
+    joined = joined.select(
+        "u", "v", "size", away.alias("away"), (over <= 0).alias("alike"), first.cast("int").alias("first"),
+        most.cast("int").alias("all"), "both", *(f"s{i}" for i in range(_SKETCH)),
+    )
+    return joined.withColumn("differences", F.slice("both", 1, F.greatest("all", "first"))).drop("both")
+
+
+def _candidates(rounds: Rounds, members: DataFrame, compared: DataFrame, d: Fraction) -> DataFrame:
+    """(u, v), possibly similar classes of a bucket that do not lead to the same class, one at least not to the centre's.
+
+    From members (band, class, v, component, weight of the component, outside: whether that is not the centre's).
+    """
+    num, den = d.numerator, d.denominator
+    kept = F.when(F.col("outside"), F.col("all")).otherwise(F.col("first"))
+    items = members.join(compared.withColumnRenamed("u", "class"), ["class", "v"]).withColumn("kept", kept)
+    items = items.select(
+        "band", "class", "component", "weight", "outside", "size", "away", "first", *(f"s{i}" for i in range(_SKETCH)),
+        F.posexplode(F.slice("differences", F.lit(1), F.greatest(F.lit(0), "kept"))).alias("at", "shingle"),
+    )
+    items = rounds.store(items.withColumn("first", F.col("at") < F.col("first")), "differences")
+    lists = items.groupBy("band", "shingle").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.max(F.when(F.col("outside"), F.struct("weight", "component"))).alias("main"),
+    )
+    lists = lists.filter("least < most and main is not null").select("band", "shingle", F.col("main.component").alias("main"))
+    lists = rounds.store(lists, "lists")
+    items = rounds.store(items.join(lists, ["band", "shingle"]).drop("weight"), "listed")
+    del lists
+    rounds.drop("differences", "lists")
+    other = items.withColumnsRenamed({c: f"v_{c}" for c in items.columns if c not in ("band", "shingle")})
+    sizes = F.col("size") + F.col("v_size")
+    apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"v_s{i}"))) for i in range(1, _SKETCH)), F.bit_count(F.col("s0").bitwiseXOR(F.col("v_s0"))))
+    over = (F.col("away") + F.col("v_away")) * den - sizes * num
+    fits = (
+        (F.col("component") != F.col("v_component"))
+        & ((F.col("away") - F.col("at")) * (2 * den) >= over)
+        & ((F.col("v_away") - F.col("v_at")) * (2 * den) >= over)
+        & (apart * den <= sizes * num)
+    )
+    outside = items.filter("outside")
+
+    def found(searching: DataFrame, among: DataFrame) -> DataFrame:
+        joined = searching.drop("main").join(among.drop("v_main"), ["band", "shingle"]).filter(fits)
+        return joined.select(F.greatest("class", "v_class").alias("u"), F.least("class", "v_class").alias("v"))
+
+    # Of a list's greatest component outside, members need not look for each other, only be found.
+    among_others = found(outside.filter("first and component != main"), other.filter("v_outside and v_first"))
+    pairs = among_others.union(found(outside, other.filter("not v_outside"))).distinct()
+    pairs = rounds.store(pairs, "candidates")
+    del items, other, outside
+    rounds.drop("listed")
+    return pairs
+
+
 def _bucket_components(rounds: Rounds, buckets: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
     """(node, component) over the similar pairs of classes among buckets (band, class, size, weight)."""
-    links, known, asked, first = None, None, None, None
-    state = buckets.withColumn("component", F.col("class"))
-    for n in itertools.count():
-        if n:
-            state = buckets.join(known, "class", "left")
-            state = rounds.store(state.withColumn("component", F.coalesce("component", "class")), f"state-{n}")
-            main = first.join(state, ["band", "class"]).select("band", F.col("component").alias("main"))
-            left = state.join(main, "band").filter("component != main").join(asked, ["band", "class"], "left_anti")
-        else:
-            left = state
-        slot = F.pmod(F.xxhash64("class"), F.lit(_MORE**n))
-        best = F.max(F.struct("weight", "class", "size", "component")).alias("best")
-        centres = left.groupBy("band", slot.alias("slot")).agg(best).select(
-            "band", F.col("best.class").alias("v"), F.col("best.size").alias("v_size"), F.col("best.component").alias("v_component")
-        )
-        centres = rounds.store(centres, f"centres-{n}")
-        if n and centres.isEmpty():
-            break
-        new = centres.select("band", F.col("v").alias("class"))
-        first, asked = (new, new) if first is None else (first, asked.union(new))
-        sizes = F.least("size", "v_size") * j.denominator >= F.greatest("size", "v_size") * j.numerator
-        pairs = state.join(centres, "band").filter((F.col("component") != F.col("v_component")) & sizes)
-        pairs = rounds.store(pairs.select(F.col("class").alias("u"), "v").distinct(), f"pairs-{n}")
-        new = rounds.store(_verified(pairs, sets, j), f"links-{n}")
-        links = new if links is None else links.union(new)
-        known = _leaders(rounds, links, f"leaders-{n}")
-        del pairs
-        rounds.drop(f"pairs-{n}", *([f"state-{n}", f"leaders-{n - 1}"] if n else []))
+    d = (1 - j) / (1 + j)
+    centres = buckets.groupBy("band").agg(F.max(F.struct("weight", "class")).alias("best")).select("band", F.col("best.class").alias("v"))
+    centres = rounds.store(centres, "centres")
+    pairs = buckets.join(centres, "band").filter("class != v").select(F.col("class").alias("u"), "v").distinct()
+    compared = rounds.store(_compared(rounds.store(pairs, "pairs"), sets, d), "compared")
+    links = compared.filter("alike").select("u", "v")
+    known = _leaders(rounds, links, "leaders")
+    weights = known.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
+    known = rounds.store(known.join(weights, "component"), "weighted")
+    state = buckets.select("band", "class").join(known, "class", "left")
+    state = state.select("band", "class", F.coalesce("component", "class").alias("component"), F.coalesce("weight", F.lit(1)).alias("weight"))
+    state = rounds.store(state, "state")
+    del pairs, known, weights
+    rounds.drop("pairs", "leaders", "weighted")
+    own = state.join(centres, "band")
+    main = F.max(F.when(F.col("class") == F.col("v"), F.col("component"))).alias("main")
+    opened = own.groupBy("band", "v").agg(main, F.min("component").alias("least"), F.max("component").alias("most"))
+    opened = rounds.store(opened.filter("least < most").select("band", "v", "main"), "open")
+    members = state.join(opened, "band").withColumn("outside", F.col("component") != F.col("main")).drop("main")
+    more = rounds.store(_verified(_candidates(rounds, members, compared, d), sets, j), "more-links")
+    links = rounds.store(links.union(more), "links")
+    del centres, state, own, opened, members, more, compared
+    rounds.drop("centres", "state", "open", "candidates", "more-links", "compared")
+    known = _leaders(rounds, links, "leaders")
     # Most links are within one leader's class by now; only those between leaders are left to follow.
     ends = known.select("class", "component")
     between = links.join(ends.toDF("u", "a"), "u").join(ends.toDF("v", "b"), "v").filter("a != b").select("a", "b")

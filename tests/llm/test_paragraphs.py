@@ -78,6 +78,30 @@ def test_buckets_with_many_classes(spark, frame):
     assert found <= want and len(found) >= 0.99 * len(want)
 
 
+def test_few_pairs_of_a_bucket_are_compared(spark, frame, monkeypatch):
+    """Many lines from one form that collide with each other but are hardly ever similar."""
+    rng = random.Random(6)
+    form = ["f%d" % i for i in range(60)]
+    rows = []
+    for i in range(300):
+        line = list(form)
+        at = 6 * rng.randrange(9)
+        line[at : at + 3] = ["e%d" % rng.randrange(10**6) for _ in range(3)]
+        rows.append((i, " ".join(line)))
+    rows += [(300 + i, text.replace("f59", "last%d" % i)) for i, text in rows[:40]]
+    compared, verified = [], paragraphs._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(paragraphs, "_verified", counted)
+    got = paragraphs.remove_paragraphs(frame(rows), window=None).collect()
+    want, found = brute(rows), {(r["doc_id"], n) for r in got for n in r["removed"]}
+    assert found <= want and len(found) >= 0.99 * len(want) >= 39
+    assert sum(compared) <= 20 * len(rows)
+
+
 def test_chosen_windows():
     rng = np.random.default_rng(5)
     hashes = rng.integers(0, 50, 400).astype(np.uint64)
