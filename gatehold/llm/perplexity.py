@@ -1,6 +1,6 @@
 """Quality of a text: perplexity under a modified Kneser-Ney model of trusted text, with a limit for each language.
 
-Models are fitted on a bounded sample of trusted documents, one for each language and one for all; their counts are
+Models and limits are fitted on all trusted documents, one for each language and one for all; their counts are
 tables that are joined by n-gram and context. The models themselves are bounded by their number of n-grams, so documents
 are not shuffled to meet the counts: each task looks up the distinct n-grams of its texts. A word's probability is the
 mean of those that the model of its document's language and the model of all give it.
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from gatehold.llm.columns import extended, fresh, quoted
 from gatehold.llm.rolling import blocks
 from gatehold.llm.storage import Rounds
 
-TRUSTED = 20_000  # trusted documents that models and limits are fitted on, about
+IDS = 2_000_000  # of trusted documents in one broadcast
 QUANTILE = 0.999  # of the trusted documents outside the fit
 SLACK = 1.03  # times the quantile is the limit
 STEADY = 60  # bytes at the language's usual entropy that are added to each text, so that short ones vary less
@@ -37,13 +38,18 @@ class Judge:
     limits: dict[str, float]
 
 
-def trusted(docs: DataFrame, labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
-    """The rows of `docs` labelled as good and not as toxic, about `limit` of them at most, chosen by a hash of the id."""
+def trusted(rounds: Rounds, docs: DataFrame, labels: DataFrame, ids: int = IDS) -> DataFrame:
+    """The rows of `docs` with a text that are labelled as good and not as toxic, stored.
+
+    Texts are not shuffled: of each `ids` labels, a part by the hash of the document's id, one broadcast and pass finds its rows.
+    """
     good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("doc_id"))
     good = good.dropna().distinct()
-    share = min(1.0, limit / max(1, good.count()))
-    chosen = good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return docs.join(F.broadcast(chosen), "doc_id", "left_semi")  # bounded by `limit`
+    parts = max(1, -(-good.count() // ids))
+    part = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(3)), F.lit(parts))
+    texts = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter("text is not null")
+    found = [texts.filter(part == p).join(F.broadcast(good.filter(part == p)), "doc_id", "left_semi") for p in range(parts)]
+    return reduce(DataFrame.union, [rounds.store(rows, f"trusted-{p}") for p, rows in enumerate(found)])
 
 
 def _bits(models: dict[str, Model], parts: list[str | None], words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -64,7 +70,7 @@ def _bits(models: dict[str, Model], parts: list[str | None], words: Words) -> tu
     return bits, size
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = TRUSTED) -> Judge:
+def fit(docs: DataFrame, labels: DataFrame) -> Judge:
     """Models and limits from documents (doc_id, text, lang) and labels (doc_id, quality, toxic).
 
     One half of the trusted documents is for the models, the other for the limits. Without trusted text there is no
@@ -72,11 +78,10 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRUSTED) -> Judge:
     """
     spark = docs.sparkSession
     rounds = Rounds(spark)
-    sample = trusted(docs, labels, limit).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    sample = rounds.store(sample.filter("text is not null"), "trusted")
+    good = trusted(rounds, docs, labels)
     first = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)) == 0
     parts = F.explode(F.when(F.col("lang").isNull(), F.array(F.lit(ALL))).otherwise(F.array("lang", F.lit(ALL))))
-    models = estimate(rounds, count_grams(sample.filter(first).select(parts.alias("part"), "text"), fold=False))
+    models = estimate(rounds, count_grams(good.filter(first).select(parts.alias("part"), "text"), fold=False))
     shared = spark.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRUSTED) -> Judge:
                 bits, size = _bits(shared.value, parts.to_pylist(), Words(data, offsets, False))
                 yield pa.RecordBatch.from_arrays([parts, pa.array(bits), pa.array(size)], ["part", "bits", "size"])
 
-    scored = sample.filter(~first).select("lang", "text").mapInArrow(run, _BITS).filter("size > 0")
+    scored = good.filter(~first).select("lang", "text").mapInArrow(run, _BITS).filter("size > 0")
     part = F.explode(F.when(F.col("part").isNull(), F.array(F.lit(ALL))).otherwise(F.array("part", F.lit(ALL))))
     scored = rounds.store(scored.select(part.alias("part"), "bits", "size"), "trusted-bits")
     usual = {r["part"]: r["usual"] for r in scored.groupBy("part").agg((F.sum("bits") / F.sum("size")).alias("usual")).collect()}
@@ -96,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRUSTED) -> Judge:
         steady = (F.col("bits") + mean * STEADY) / (F.col("size") + STEADY)
         found = scored.groupBy("part").agg(F.percentile_approx(steady, QUANTILE, 10_000).alias("limit"))
         limits = {r["part"]: r["limit"] * SLACK for r in found.collect()}
-    rounds.drop("trusted", "trusted-bits")
+    rounds.clear()
     return Judge(models, usual, limits)
 
 

@@ -13,6 +13,7 @@ from tests.llm.test_suffix_dedup import brute as repeated
 from tokenizers import Tokenizer
 
 from gatehold.llm import packing, perplexity, quality_rules
+from gatehold.llm.storage import Rounds
 
 
 def texts_of(df):
@@ -98,3 +99,12 @@ def test_near_copies_keep_rows_without_an_id_and_one_of_repeated_rows(spark, fra
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [
         (0, "no id"), (0, text), (2, ""), (5, text), (9, "alone")
     ]
+
+
+def test_all_trusted_documents_count(spark):
+    docs = spark.range(21_000).selectExpr("id AS doc_id", "concat('good words ', id) AS text", "'en' AS lang")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "if(doc_id < 500, 1, if(doc_id < 900, null, 0)) AS toxic")
+    labels = labels.union(labels.limit(50)).union(labels.selectExpr("null", "1", "0"))
+    for ids in (perplexity.IDS, 8_000):
+        found = perplexity.trusted(Rounds(spark), docs, labels, ids)
+        assert found.count() == found.distinct().count() == 20_500
