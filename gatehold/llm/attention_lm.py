@@ -12,6 +12,7 @@ block get their counts by a join, and each block meets its own words' counts.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,10 +25,12 @@ from pyspark.sql import functions as F
 from gatehold.llm.bpe import encoder
 from gatehold.llm.charlm import Model, Words, count_grams, estimate
 from gatehold.llm.columns import quoted
-from gatehold.llm.rolling import blocks, lower, span_hashes, word_spans
+from gatehold.llm.rolling import blocks, distinct, lower, span_hashes, word_spans
 from gatehold.llm.storage import Rounds
 
 BLOCK_BYTES = 8 << 20  # texts that are scored together; a longer text is a block by itself
+PACKED = 1 << 16  # words that a task packs at once
+BUCKETS = 100_000  # most that Spark writes as it is set by default
 WARM = 8  # blocks whose fits are averaged first, for a start that the fits of all blocks then go on from
 CONTEXT = 32  # words before the ones a window scores
 TARGETS = 32  # words that a window scores
@@ -41,14 +44,16 @@ END = np.uint64(0xE4D0F7E87)  # stands for the end of a text among the words
 
 _BLOCKS = "doc_id long, text string, part int, block long"
 _VOCABULARY = "block long, word long, n array<long>"
+_PACKED = "block long, word array<long>, n array<long>"
 _FITS = "windows long, weights array<double>"
+_TABLES = ("first", "last", "known", "part")  # embeddings; next to each other among the weights
 _SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
 @dataclass
 class Network:
     weights: dict[str, np.ndarray]
-    moments: dict[str, list[np.ndarray]] | None = None  # of Adam, while a fit goes on
+    moments: list[np.ndarray] | None = None  # of Adam, while a fit goes on
     steps: int = 0
 
     @classmethod
@@ -63,40 +68,66 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.weights.values()]).astype(np.float64)
 
+    def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """Parts of `flat` in the shapes of the weights."""
+        edges = np.cumsum([v.size for v in self.weights.values()])[:-1]
+        return {k: v.reshape(old.shape) for (k, old), v in zip(self.weights.items(), np.split(flat, edges))}
+
     def like(self, flat: np.ndarray) -> Network:
         """A network with the weights of `flat` in the shapes of this one."""
-        edges = np.cumsum([v.size for v in self.weights.values()])[:-1]
-        values = zip(self.weights.items(), np.split(flat.astype(np.float32), edges))
-        return Network({k: v.reshape(old.shape) for (k, old), v in values})
+        return Network(self.views(flat.astype(np.float32)))
 
-    def embed(self, seq: Sequence, entry: np.ndarray | slice = slice(None)) -> np.ndarray:
-        w = self.weights
-        return w["first"][seq.first[entry]] + w["last"][seq.last[entry]] + w["known"][seq.known[entry]] + w["part"][seq.part[entry]]
+    def embed(self, rows: np.ndarray) -> np.ndarray:
+        """Embeddings from the rows of `Sequence.features` in the four tables."""
+        table = np.concatenate([self.weights[k] for k in _TABLES])
+        return _embedded(table, rows)
 
     def forward(self, x: np.ndarray, before: np.ndarray, usable: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, ...]:
         """(weights of the mixture, probability of a copy, and what the gradient needs) for the last `TARGETS` places.
 
         x: embeddings of the places of each window; before: those of the places before them; usable: which places each
-        target may look at; same: which of these hold the target's word.
+        target may look at; same: which of these hold the target's word, both as 0 and 1.
         """
         w = self.weights
-        q = before[:, -TARGETS:] @ w["query"]
-        k = before @ w["before"] + x @ w["own"]
-        scores = np.matmul(q, k.transpose(0, 2, 1)) / np.float32(WIDTH**0.5)
+        targets = np.ascontiguousarray(before[:, -TARGETS:])
+        q = _times(targets, w["query"])
+        k = _times(before, w["before"])
+        k += _times(x, w["own"])
+        scores = np.matmul(q, k.transpose(0, 2, 1))
+        scores /= np.float32(WIDTH**0.5)
         np.clip(scores, -30, 30, out=scores)
         np.exp(scores, out=scores)
         scores *= usable
-        total = scores.sum(axis=2, keepdims=True)
-        attention = scores / np.maximum(total, np.float32(1e-30))
-        copy = (attention * same).sum(axis=2)
-        h = np.matmul(attention, x @ w["value"])
-        inputs = np.concatenate((before[:, -TARGETS:], h), axis=2)
-        logits = inputs @ w["gate"] + w["bias"]
+        total = _sums(scores)
+        scores /= np.maximum(total, np.float32(1e-30))
+        attention, copy = scores, np.einsum("ijk,ijk->ij", scores, same)
+        values = _times(x, w["value"])
+        inputs = np.concatenate((targets, np.matmul(attention, values)), axis=2)
+        logits = _times(inputs, w["gate"])
+        logits += w["bias"]
         logits[..., -1] = np.where(total[..., 0] > 0, logits[..., -1], -30)
-        logits -= logits.max(axis=2, keepdims=True)
-        gate = np.exp(logits)
-        gate /= gate.sum(axis=2, keepdims=True)
-        return gate, copy, attention, q, k, inputs
+        logits -= functools.reduce(np.maximum, np.moveaxis(logits, 2, 0))[..., None]
+        gate = np.exp(logits, out=logits)
+        gate /= _sums(gate)
+        return gate, copy, attention, q, k, values, inputs
+
+
+def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w as one product of two matrices."""
+    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, which stays; a product is faster than many short sums."""
+    return _times(x, np.ones((x.shape[-1], 1), x.dtype))
+
+
+def _embedded(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of the embeddings that the four `rows` of each entry name."""
+    x = table.take(rows[0], axis=0)
+    for row in rows[1:]:
+        x += table.take(row, axis=0)
+    return x
 
 
 @dataclass
@@ -116,20 +147,17 @@ class Windows:
         return cls(place, (place >= low) & (place < high))
 
 
-_CAUSAL = np.tril(np.ones((TARGETS, CONTEXT + TARGETS), bool), CONTEXT - 1)
+_CAUSAL = np.tril(np.ones((TARGETS, CONTEXT + TARGETS), np.float32), CONTEXT - 1)
 
 
-def _inputs(seq: Sequence, place: np.ndarray, inside: np.ndarray, embedded: np.ndarray | Network):
-    """(entry of each place, and what `forward` needs) from the embeddings of all entries, or a network that makes them."""
-    place = np.where(inside, place, 0)
-    entry, word = seq.entry[place], seq.word[place]
-    x = embedded.embed(seq, entry) if isinstance(embedded, Network) else embedded[entry]
-    x = x * inside[..., None]
+def _inputs(word: np.ndarray, inside: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What `forward` needs, from the words of the places and their embeddings."""
+    x[~inside] = 0
     before = np.zeros_like(x)
     before[:, 1:] = x[:, :-1]
-    usable = inside[:, None, :] & _CAUSAL
-    same = word[:, -TARGETS:, None] == word[:, None, :]
-    return entry, x, before, usable, same
+    usable = inside[:, None, :].astype(np.float32) * _CAUSAL
+    same = (word[:, -TARGETS:, None] == word[:, None, :]).astype(np.float32)
+    return x, before, usable, same
 
 
 @dataclass
@@ -148,41 +176,67 @@ class Sequence:
     share: np.ndarray  # of the training words of each part
     spelt: np.ndarray  # log of the probability under each character model; that of an end is -inf
     entry: np.ndarray | None = None  # of each place; without it, each place is an entry
+    form: np.ndarray | None = None  # of each entry in `first`, `last` and `spelt`; without it, the entry itself
 
     def __post_init__(self) -> None:
         if self.entry is None:
             self.entry = np.arange(len(self.word))
+
+    @functools.cached_property
+    def peak(self) -> np.ndarray:
         top = self.spelt.max(axis=1)
-        self.peak = np.where(np.isfinite(top), top, 0.0)
-        self.spelling = np.exp(self.spelt - self.peak[:, None])  # so that mixtures need no logarithm for each part
+        return np.where(np.isfinite(top), top, 0.0)
+
+    @functools.cached_property
+    def spelling(self) -> np.ndarray:
+        return np.exp(self.spelt - self.peak[:, None])  # so that mixtures need no logarithm for each part
+
+    @functools.cached_property
+    def spelt_as(self) -> np.ndarray:
+        """The part whose character model finds a word most likely."""
+        return self.spelt.argmax(axis=1)
+
+    @functools.cached_property
+    def probability(self) -> np.ndarray:
+        return np.exp(self.spelt)
+
+    @property
+    def features(self) -> np.ndarray:
+        """The rows of each entry in the four tables of embeddings, one behind the other."""
+        first, last = (v if self.form is None else v[self.form] for v in (self.first, self.last))
+        return np.stack((first, IDS + last, 2 * IDS + self.known, 2 * IDS + 32 + self.part))
 
     def place_counts(self, counts: np.ndarray, totals: np.ndarray) -> None:
         """Set what follows from the training counts of each entry, by part."""
+        spelt_as = self.spelt_as if self.form is None else self.spelt_as[self.form]
         self.share = counts / np.maximum(totals, 1)
         self.known = np.minimum(np.log2(counts.sum(axis=1) + 1).astype(np.int64), 31)
-        self.part = np.where(self.known > 0, self.share.argmax(axis=1), self.spelt.argmax(axis=1))
+        self.part = np.where(self.known > 0, self.share.argmax(axis=1), spelt_as)
 
-    def by_place(self) -> Sequence:
-        """The same with an entry for each place."""
-        at = self.entry
-        values = (v[at] for v in (self.first, self.last, self.known, self.part, self.share, self.spelt))
-        return Sequence(self.word, self.rows, *values)
+    def by_place(self, first: int, stop: int) -> Sequence:
+        """Texts `first` to `stop` with an entry for each place, without counts."""
+        a, b = self.rows[first], self.rows[stop]
+        word, nothing = self.word[a:b], np.zeros(0)
+        out = Sequence(word, self.rows[first : stop + 1] - a, self.first, self.last, nothing, nothing, nothing, self.spelt, form=self.entry[a:b])
+        out.spelt_as, out.probability = self.spelt_as, self.probability
+        return out
 
 
-def log_probabilities(network: Network, seq: Sequence, batch: int = 256) -> np.ndarray:
-    """Natural log of the probability of each place."""
+def log_probabilities(network: Network, seq: Sequence, batch: int = 64) -> np.ndarray:
+    """Natural log of the probability of each place; the entries of `seq` have forms of their own."""
     windows, out = Windows.over(seq.rows), np.zeros(len(seq.word))
-    embedded, parts = network.embed(seq), seq.share.shape[1]
+    embedded, parts = network.embed(seq.features), seq.share.shape[1]
     for a in range(0, len(windows.place), batch):
         place, inside = windows.place[a : a + batch], windows.inside[a : a + batch]
-        entry, x, before, usable, same = _inputs(seq, place, inside, embedded)
-        gate, copy, *_ = network.forward(x, before, usable, same)
+        at = np.where(inside, place, 0)
+        entry = seq.entry.take(at)
+        gate, copy, *_ = network.forward(*_inputs(seq.word.take(at), inside, embedded.take(entry, axis=0)))
         scored = inside[:, -TARGETS:]
         target, gate = entry[:, -TARGETS:][scored], gate[scored].astype(np.float64)
-        seen = (gate[:, :parts] * seq.share[target]).sum(axis=1) + gate[:, -1] * copy[scored]
-        spelt = (gate[:, parts:-1] * seq.spelling[target]).sum(axis=1)
+        seen = (gate[:, :parts] * seq.share.take(target, axis=0)).sum(axis=1) + gate[:, -1] * copy[scored]
+        spelt = (gate[:, parts:-1] * seq.spelling.take(target, axis=0)).sum(axis=1)
         with np.errstate(divide="ignore"):
-            out[place[:, -TARGETS:][scored]] = np.logaddexp(np.log(seen), np.log(spelt) + seq.peak[target])
+            out[place[:, -TARGETS:][scored]] = np.logaddexp(np.log(seen), np.log(spelt) + seq.peak.take(target))
     return out
 
 
@@ -198,52 +252,65 @@ def train(seq: Sequence, steps: int = STEPS, network: Network | None = None) ->
     steps = max(steps, -(-len(windows.place) // BATCH))
     turns = -(-steps * BATCH // len(windows.place))
     picks = np.concatenate([rng.permutation(len(windows.place)) for _ in range(turns)])[: steps * BATCH]
+    # All weights are one array, so that Adam takes a few operations for all of them.
+    weights = network.flat().astype(np.float32)
+    w = network.weights = network.views(weights)
     if network.moments is None:
-        network.moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in network.weights.items()}
-    moments = network.moments
+        network.moments = [np.zeros_like(weights), np.zeros_like(weights)]
+    m, v = network.moments
+    g = np.zeros_like(weights)
+    grads = network.views(g)
+    low = sum(w[k].size for k in ("query", "before", "own", "value"))
+    tables = slice(low, low + sum(w[k].size for k in _TABLES))
+    table, g_table, across = weights[tables].reshape(-1, WIDTH), g[tables], np.arange(WIDTH)
+    features, form = seq.features, seq.entry if seq.form is None else seq.form[seq.entry]
+    scale_of = np.float32(WIDTH**0.5)
+    flat = lambda x: x.reshape(-1, x.shape[-1])
     for pick in np.array_split(picks, steps):
         network.steps += 1
         step = network.steps
         place, inside = windows.place[pick], windows.inside[pick]
-        at, x, before, usable, same = _inputs(seq, place, inside, network)
-        gate, copy, attention, q, k, inputs = network.forward(x, before, usable, same)
-        w = network.weights
-        target, scored = at[:, -TARGETS:], inside[:, -TARGETS:].astype(np.float32)
-        parts = np.concatenate((seq.share[target], np.exp(seq.spelt[target]), copy[..., None]), axis=2)
-        mixed = np.maximum((gate * parts).sum(axis=2), 1e-30)
+        place = np.where(inside, place, 0)
+        at = seq.entry.take(place)
+        rows = features.take(at, axis=1)
+        x, before, usable, same = _inputs(seq.word.take(place), inside, _embedded(table, rows))
+        gate, copy, attention, q, k, values, inputs = network.forward(x, before, usable, same)
+        scored = inside[:, -TARGETS:].astype(np.float32)
+        share, spelt = seq.share.take(at[:, -TARGETS:], axis=0), seq.probability.take(form.take(place[:, -TARGETS:]), axis=0)
+        parts = np.concatenate((share, spelt, copy[..., None]), axis=2)
+        mixed = np.maximum(_sums(gate * parts)[..., 0], 1e-30)
         scale = (scored / scored.sum() / mixed).astype(np.float32)[..., None]
         # Backwards from the mean negative log of the mixture.
         d_logits = -(gate * (parts - mixed[..., None])).astype(np.float32) * scale
         d_copy = -gate[..., -1].astype(np.float32) * scale[..., 0]
-        d_inputs = d_logits @ w["gate"].T
-        values = x @ w["value"]
-        d_h = d_inputs[..., WIDTH:]
-        d_attention = d_copy[..., None] * same + np.matmul(d_h, values.transpose(0, 2, 1))
-        d_scores = attention * (d_attention - (d_attention * attention).sum(axis=2, keepdims=True)) / np.float32(WIDTH**0.5)
+        d_inputs = _times(d_logits, w["gate"].T)
+        d_h = np.ascontiguousarray(d_inputs[..., WIDTH:])
+        d_scores = np.matmul(d_h, values.transpose(0, 2, 1))
+        same *= d_copy[..., None]
+        d_scores += same
+        d_scores -= _sums(d_h * inputs[..., WIDTH:]) + (d_copy * copy)[..., None]  # the mean under the attention
+        d_scores *= attention
+        d_scores /= scale_of
         d_values = np.matmul(attention.transpose(0, 2, 1), d_h)
         d_q, d_k = np.matmul(d_scores, k), np.matmul(d_scores.transpose(0, 2, 1), q)
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        grads = {
-            "gate": flat(inputs).T @ flat(d_logits),
-            "bias": flat(d_logits).sum(axis=0),
-            "value": flat(x).T @ flat(d_values),
-            "query": flat(before[:, -TARGETS:]).T @ flat(d_q),
-            "before": flat(before).T @ flat(d_k),
-            "own": flat(x).T @ flat(d_k),
-        }
-        d_before = d_k @ w["before"].T
-        d_before[:, -TARGETS:] += d_q @ w["query"].T + d_inputs[..., :WIDTH]
-        d_x = d_k @ w["own"].T + d_values @ w["value"].T
+        np.matmul(flat(inputs).T, flat(d_logits), out=grads["gate"])
+        grads["bias"][:] = flat(d_logits).sum(axis=0)
+        np.matmul(flat(x).T, flat(d_values), out=grads["value"])
+        np.matmul(flat(inputs)[:, :WIDTH].T, flat(d_q), out=grads["query"])
+        np.matmul(flat(before).T, flat(d_k), out=grads["before"])
+        np.matmul(flat(x).T, flat(d_k), out=grads["own"])
+        d_before = _times(d_k, w["before"].T)
+        d_before[:, -TARGETS:] += _times(d_q, w["query"].T) + d_inputs[..., :WIDTH]
+        d_x = _times(d_k, w["own"].T) + _times(d_values, w["value"].T)
         d_x[:, :-1] += d_before[:, 1:]
-        d_x *= inside[..., None]
-        for name, index in (("first", seq.first), ("last", seq.last), ("known", seq.known), ("part", seq.part)):
-            grads[name] = np.zeros_like(w[name])
-            np.add.at(grads[name], index[at].ravel(), flat(d_x))
-        for name, g in grads.items():
-            m, v = moments[name]
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            w[name] -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        d_x[~inside] = 0
+        g_table[:] = 0
+        slots, d_x = (rows.reshape(4, -1, 1) * WIDTH + across).reshape(4, -1), d_x.ravel()
+        for slot in slots:
+            np.add.at(g_table, slot, d_x)
+        m += 0.1 * (g - m)
+        v += 0.01 * (g * g - v)
+        weights -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return network
 
 
@@ -314,19 +381,25 @@ class Scorer:
         seq.place_counts(c, self.totals)
         return seq, c
 
-    def training_sequence(
-        self, data: np.ndarray, offsets: np.ndarray, part: np.ndarray, words: np.ndarray, counts: np.ndarray
-    ) -> Sequence:
-        """The same for training texts of the given parts, with the counts that the other training texts give their words."""
+    def training_sequences(
+        self, column: pa.ChunkedArray, part: np.ndarray, words: np.ndarray, counts: np.ndarray, size: int
+    ) -> Iterator[tuple[int, Sequence]]:
+        """(number of texts, the same) of pieces of so many bytes of training texts, all texts together looked up once.
+
+        Words have the counts that the training texts other than their own give them. part: that of each text.
+        """
+        _, _, data, offsets = next(blocks(column, 1 << 62))
         seq, c = self.sequence(data, offsets, words, counts)
         end = len(c) - 1
-        c, seq = c[seq.entry], seq.by_place()
-        row = np.repeat(np.arange(len(seq.rows) - 1), np.diff(seq.rows))
-        # A text outside the training does not have its own words among the counts.
-        _, inverse, times = np.unique(row * (end + 1) + seq.word, return_inverse=True, return_counts=True)
-        c[np.arange(len(c)), part[row]] -= np.where(seq.word == end, 0, times[inverse])
-        seq.place_counts(np.maximum(c, 0), self.totals)
-        return seq
+        for first, stop, _, _ in blocks(column, size):
+            own = seq.by_place(first, stop)
+            n = c.take(own.form, axis=0)
+            row = np.repeat(np.arange(stop - first), np.diff(own.rows))
+            # A text outside the training does not have its own words among the counts.
+            inverse = pa.array(row * (end + 1) + own.word).dictionary_encode().indices.to_numpy()
+            n[np.arange(len(n)), part[first:stop][row]] -= np.where(own.word == end, 0, np.bincount(inverse)[inverse])
+            own.place_counts(np.maximum(n, 0), self.totals)
+            yield stop - first, own
 
     def scores(self, data: np.ndarray, offsets: np.ndarray, words: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
         """n_tokens, n_known, base_score and score of each text."""
@@ -367,7 +440,7 @@ def _vocabulary(parts: int):
         held, of = [], None
 
         def flush() -> pa.RecordBatch:
-            word, inverse = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            word, _, inverse = distinct(np.concatenate([h[0] for h in held]))
             n = np.zeros((len(word), parts), np.int64)
             np.add.at(n, inverse, np.concatenate([h[1] for h in held]))
             return pa.RecordBatch.from_arrays(
@@ -386,32 +459,47 @@ def _vocabulary(parts: int):
                         yield flush()
                         held = []
                     of, own = number, numbers[row] == number
-                    distinct, inverse = np.unique(word[own], return_inverse=True)
+                    found, _, inverse = distinct(word[own])
                     in_part = part[row][own]
                     slot = inverse[in_part >= 0] * parts + in_part[in_part >= 0]
-                    held.append((distinct, np.bincount(slot, minlength=len(distinct) * parts).reshape(-1, parts)))
+                    held.append((found, np.bincount(slot, minlength=len(found) * parts).reshape(-1, parts)))
         if held:
             yield flush()
 
     return run
 
 
-def _by_word(counted: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """The words of a block, ascending, and their counts."""
-    words, n = counted.column("word").to_numpy().view(np.uint64), _counts_of(counted.column("n"), parts)
-    order = np.argsort(words)
-    return words[order], n[order]
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, word, n) with the words of a block in a task, or in a part of it, as one row."""
+    held: list[pa.RecordBatch] = []
+    size = 0
 
+    def flush() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).sort_by("block").combine_chunks()
+        block = table.column("block").to_numpy()
+        first = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
+        edges = pa.array(np.append(first, len(block)), pa.int32())
+        word, n = (table.column(c).combine_chunks() for c in ("word", "n"))
+        counts = n.flatten()
+        each = pa.array(np.append(first, len(block)) * (len(counts) // len(block)), pa.int32())
+        columns = [pa.array(block[first]), pa.ListArray.from_arrays(edges, word), pa.ListArray.from_arrays(each, counts)]
+        return pa.RecordBatch.from_arrays(columns, ["block", "word", "n"])
 
-def _sum_fits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row with the sums over the fits of a task, each times its windows."""
-    windows, total = 0, None
     for batch in batches:
-        for n, weights in zip(batch.column(0).to_pylist(), batch.column(1)):
-            own = n * weights.values.to_numpy()
-            windows, total = windows + n, own if total is None else total + own
-    if windows:
-        yield pa.RecordBatch.from_arrays([pa.array([windows]), pa.array([total], pa.list_(pa.float64()))], ["windows", "weights"])
+        if len(batch):
+            held, size = [*held, batch], size + len(batch)
+        if size >= PACKED:
+            yield flush()
+            held, size = [], 0
+    if held:
+        yield flush()
+
+
+def _by_word(counted: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a block, ascending, and their counts, from rows of `_packed`."""
+    words, n = counted.column("word").combine_chunks().flatten().to_numpy().view(np.uint64), _counts_of(counted.column("n"), parts)
+    order = np.argsort(words)
+    return words[order], n[order]
 
 
 def fit_network(texts: DataFrame, with_counts: DataFrame, scorer: Scorer) -> tuple[Network, int]:
@@ -430,20 +518,21 @@ def fit_network(texts: DataFrame, with_counts: DataFrame, scorer: Scorer) -> tup
             words, n = _by_word(counted, parts)
             part = texts.column("part").to_numpy()
             network, windows = start.like(start.flat()), 0
-            for first, stop, data, offsets in blocks(texts.column("text"), BLOCK_BYTES // 8):
-                seq = shared.value.training_sequence(data, offsets, part[first:stop], words, n)
-                share = -(-steps * (stop - first) // len(texts))
+            for count, seq in shared.value.training_sequences(texts.column("text"), part, words, n, BLOCK_BYTES // 8):
+                share = -(-steps * count // len(texts))
                 network = train(seq, share, network)
                 windows += len(Windows.over(seq.rows).place)
             return pa.table({"windows": [windows], "weights": pa.array([network.flat()], pa.list_(pa.float64()))})
 
         fits = texts.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(run, _FITS)
-        sums = fits.mapInArrow(_sum_fits, _FITS).toArrow()  # a row for each task
-        windows = sum(sums.column("windows").to_pylist())
-        if not windows:
+        # Added up by Spark: a second operator in Python would hold a second worker for each running task.
+        each = fits.select("windows", F.posexplode("weights").alias("at", "weight"))
+        sums = each.groupBy("at").agg(F.sum("windows").alias("windows"), F.sum(F.col("windows") * F.col("weight")).alias("total"))
+        sums = sums.toArrow().sort_by("at")
+        if not len(sums):
             return start, 0
-        total = np.sum([w.values.to_numpy() for w in sums.column("weights")], axis=0)
-        return start.like(total / windows), windows
+        windows = sums.column("windows")[0].as_py()
+        return start.like(sums.column("total").to_numpy() / windows), windows
 
     first = [r["block"] for r in texts.select("block").distinct().orderBy(F.xxhash64("block")).limit(WARM).collect()]
     own = F.col("block").isin(first)
@@ -483,25 +572,31 @@ def score(
     for i, lang in enumerate(langs):
         number = F.when(F.col("lang") == lang, i).otherwise(number)
     texts = texts.select("doc_id", "text", F.when(F.col("training"), number).otherwise(-1).cast("int").alias("part"))
-    dealt = rounds.store(texts.mapInArrow(_deal, _BLOCKS), "blocks")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # In buckets of blocks, texts and counts meet as often as needed without a shuffle.
+    buckets = min(max(1, -(-size // BLOCK_BYTES)), BUCKETS)
+    dealt = rounds.store_bucketed(texts.mapInArrow(_deal, _BLOCKS), "blocks", "block", buckets)
     vocabulary = rounds.store(dealt.mapInArrow(_vocabulary(parts), _VOCABULARY), "vocabulary")
     counts = vocabulary.groupBy("word").agg(F.array(*(F.sum(F.col("n")[k]) for k in range(parts))).alias("n"))
     counts = rounds.store(counts.filter(F.exists("n", lambda x: x > 0)), "counts")
     sums = counts.agg(F.count(F.lit(1)), *(F.coalesce(F.sum(F.col("n")[k]), F.lit(0)) for k in range(parts))).first()
+    rounds.drop()
     with_counts = vocabulary.select("block", "word").join(counts.hint("merge"), "word").select("block", "word", "n")
-    with_counts = rounds.store(with_counts, "block-counts")
+    packed = with_counts.mapInArrow(_packed, _PACKED).repartition(buckets, "block")
+    with_counts = rounds.store_bucketed(packed, "block-counts", "block", buckets)
+    del vocabulary, counts, packed
+    rounds.drop("vocabulary", "counts")
     spelling = estimate(rounds, count_grams(dealt.filter("part >= 0").select(F.col("part").cast("string").alias("part"), "text"), fold=True))
     scorer = Scorer([spelling.get(str(k)) for k in range(parts)], None, np.array(sums[1:], np.int64), sums[0], tokenizer)
     scorer.network, _ = fit_network(dealt, with_counts, scorer)
-    del vocabulary, counts
-    rounds.drop("vocabulary", "counts")
+    rounds.drop()
     shared = docs.sparkSession.sparkContext.broadcast(scorer)  # bounded by the n-grams of the character model
 
     def run(texts: pa.Table, counted: pa.Table) -> pa.Table:
         words, n = _by_word(counted, parts)
         ids = texts.column("doc_id").combine_chunks()
         out = []
-        for first, stop, data, offsets in blocks(texts.column("text"), BLOCK_BYTES // 2):
+        for first, stop, data, offsets in blocks(texts.column("text"), BLOCK_BYTES):
             columns = [ids.slice(first, stop - first), *map(pa.array, shared.value.scores(data, offsets, words, n))]
             out.append(pa.table(columns, [c.split()[0] for c in _SCORES.split(", ")]))
         return pa.concat_tables(out) if out else pa.table({c.split()[0]: pa.array([], pa.float64() if "double" in c else pa.int64()) for c in _SCORES.split(", ")})

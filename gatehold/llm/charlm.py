@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatehold.llm.rolling import blocks, lower, span_hashes, word_spans
+from gatehold.llm.rolling import blocks, distinct, lower, span_hashes, word_spans
 from gatehold.llm.storage import Rounds
 
 ORDER = 5
@@ -33,7 +33,7 @@ class Words:
         data = lower(data) if fold else data
         starts, ends, self.rows = word_spans(data, offsets)
         hashes = span_hashes(data, starts, ends)
-        self.hashes, index, self.word = np.unique(hashes, return_index=True, return_inverse=True)
+        self.hashes, index, self.word = distinct(hashes)
         self.starts, self.ends = starts[index], ends[index]
         begin, size = self.starts, self.ends - self.starts
         count = size + 1
@@ -46,7 +46,7 @@ class Words:
             byte = np.full(len(at), _PAD, np.int64)
             byte[inside] = data[(begin + at + k)[inside]]
             gram = (gram << 8) | byte
-        self.grams, self.gram = np.unique(gram, return_inverse=True)
+        self.grams, _, self.gram = distinct(gram)
         self.sizes = count
 
     def per_word(self, per_gram: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,23 @@ def test_edges(spark, frame):
     assert attention_lm.score(frame({}), F.lit(True), BPE).count() == 0
 
 
+def test_texts_and_counts_of_a_block_meet_without_a_shuffle(frame):
+    texts = [(i, f"a b {i}") for i in range(50)]
+    scored = attention_lm.score(frame(texts), F.col("doc_id") < 40, BPE)
+    plan = scored._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    check(scored.collect(), texts, lambda i: i >= 40)
+
+
+def test_words_of_a_block_are_packed_into_one_row():
+    block, word = np.repeat([7, 5, 7], [2, 1, 1]), np.arange(4)
+    n = pa.ListArray.from_arrays(pa.array([0, 2, 4, 6, 8], pa.int32()), pa.array(range(8)))
+    batch = pa.RecordBatch.from_arrays([pa.array(block), pa.array(word), n], ["block", "word", "n"])
+    (packed,) = attention_lm._packed(iter([batch.slice(0, 3), batch.slice(3)]))
+    assert packed.to_pydict() == {"block": [5, 7], "word": [[2], [0, 1, 3]], "n": [[4, 5], [0, 1, 2, 3, 6, 7]]}
+    assert not list(attention_lm._packed(iter([batch.slice(0, 0)])))
+
+
 def _sequence(words, rows, vocabulary):
     n = len(words)
     share = np.full((n, 1), 1 / vocabulary)
