@@ -28,3 +28,11 @@ def test_places_count():
     words = [b"a" * 8 + b"b" * 8, b"b" * 8 + b"a" * 8, b"a" * 16, b"b" * 16, b"a" * 8, b"a" * 9, b"a" * 8 + b"\0"]
     hashes = {int(rolling.span_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in words}
     assert len(hashes) == len(words)
+
+
+@settings(deadline=None)
+@given(st.lists(st.integers(0, 9) | st.integers(0, 2**64 - 1), max_size=50))
+def test_distinct_values_are_those_of_numpy(values):
+    values = np.array(values, np.uint64)
+    for got, want in zip(rolling.distinct(values), np.unique(values, return_index=True, return_inverse=True), strict=True):
+        assert np.array_equal(got, want) and got.dtype == want.dtype
